@@ -128,4 +128,4 @@ def time_text(df: DataFrame, share: float = 0.7) -> DataFrame:
             )
         else:
             columns.append(F.col(name))
-    return out.select(*columns)
+    return df.select(*columns)

@@ -469,11 +469,11 @@ from (select *, {percs} from (
 """
 
 
-_RECON_STEPS = {"totals": _LOG_TOTALS, "stats": _STATS_TOTALS, "comparison": _comparison("rs")}
+RECON_STEPS = {"totals": _LOG_TOTALS, "stats": _STATS_TOTALS, "comparison": _comparison("rs")}
 CHECKS["recon_clusters"] = check_sql(
     "select * replace (cast(cluster as varchar) as cluster) from totals", totals=_LOG_TOTALS
 )
-CHECKS["recon_advertiser"] = check_sql("select * from comparison", **_RECON_STEPS)
+CHECKS["recon_advertiser"] = check_sql("select * from comparison", **RECON_STEPS)
 CHECKS["recon_stats_denominator"] = check_sql(
     "select * from comparison",
     cluster_totals=_LOG_TOTALS,
@@ -490,8 +490,8 @@ CHECKS["recon_summary"] = check_sql(
     "select date, bool_or(automation_flag) as automation_flag, count(*) filter (automation_flag) as flagged_rows, "
     + ", ".join(f"max(abs({m}_{kind})) as max_{m}_{kind}" for m in _METRICS for kind in ("diff", "perc"))
     + " from comparison group by date",
-    **_RECON_STEPS,
+    **RECON_STEPS,
 )
 CHECKS["recon_clean_advertisers"] = check_sql(
-    "select date, cluster, advertiser_id from comparison where not automation_flag", **_RECON_STEPS
+    "select date, cluster, advertiser_id from comparison where not automation_flag", **RECON_STEPS
 )
