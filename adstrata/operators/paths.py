@@ -16,7 +16,14 @@ from adstrata.functions.scalars import (
     whole_units,
 )
 from adstrata.operators.keys import keep_first
-from adstrata.operators.timeline import DAY_US, HOUR_US, Lookback, lookback_rollup, order_in_buckets
+from adstrata.operators.timeline import (
+    DAY_US,
+    HOUR_US,
+    Lookback,
+    busy_keys,
+    lookback_rollup,
+    order_in_buckets,
+)
 
 _ID_COLUMNS = [
     "event_id",
@@ -132,12 +139,19 @@ def dedup_conversions(events: DataFrame) -> DataFrame:
     )
 
 
-def path_rollup(events: DataFrame, conversions: DataFrame, lookback_days: int = 60) -> DataFrame:
+def path_rollup(
+    events: DataFrame,
+    conversions: DataFrame,
+    lookback_days: int = 60,
+    busy: DataFrame | None = None,
+) -> DataFrame:
     """One row per conversion with its touch history.
 
     A touch is an impression or click of the same user in the lookback before the conversion,
-    both ends included.
+    both ends included. ``busy`` users, by default found by counting, are cut into hours.
     """
+    if busy is None:
+        busy = busy_keys(events.select("anonymous_user_id"), ["anonymous_user_id"])
     touches = events.where(F.col("has_impression") | F.col("has_click"))
     cost = F.coalesce(F.col("cost_micros"), F.lit(0.0)) / F.lit(float(MICROS))
     impression = true_only("has_impression")
@@ -167,6 +181,7 @@ def path_rollup(events: DataFrame, conversions: DataFrame, lookback_days: int =
             },
         ),
         lookback_us=lookback_days * DAY_US,
+        busy=busy,
         bucket_us=HOUR_US,
     )
     return rolled.withColumn(
@@ -231,14 +246,21 @@ def latest_rows(df: DataFrame, keys: list[str], created_at: str, *ties: str) ->
 
 
 def running_conversions(
-    df: DataFrame, key: str, event_at: str, event_id: str, has_conversion: Column
+    df: DataFrame,
+    key: str,
+    event_at: str,
+    event_id: str,
+    has_conversion: Column,
+    busy: DataFrame | None = None,
 ) -> DataFrame:
     """Touch order and conversions so far, per key in time order."""
+    micros = F.unix_micros(F.col(event_at).cast("timestamp"))
     return order_in_buckets(
         df,
         [key],
-        F.date_trunc("hour", F.col(event_at)),
+        micros - F.pmod(micros, F.lit(HOUR_US)),
         [F.col(event_at), F.col(event_id)],
+        busy_keys(df.select(key), [key]) if busy is None else busy,
         sequence="touch_order",
         running={"cumulative_conversions": has_conversion.cast("bigint")},
     )

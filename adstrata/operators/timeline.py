@@ -1,10 +1,10 @@
-"""Ordered computations per key that do not need a whole key in one task.
+"""Ordered computations per key that do not need a busy key in one task.
 
 A window over (key, time) sorts each key in a single task, which fails when one key holds a
-large part of the table. Here the time axis of a key is cut into buckets. A window then runs
-inside (key, bucket), and what lies before (or after) the bucket arrives as one carried row
-per (key, bucket), computed from bucket totals. Only the bucket totals are ever ordered per
-key, and their number is bounded by the calendar.
+large part of the table. Here the time axis of a busy key is cut into buckets. A window then
+runs inside (key, bucket), and what lies before (or after) the bucket arrives as one carried
+row per (key, bucket), computed from bucket totals. Only the bucket totals are ever ordered
+per key, and their number is bounded by the calendar. All other keys are one bucket each.
 """
 
 from __future__ import annotations
@@ -15,17 +15,47 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adstrata.functions.scalars import ColumnLike, as_column
+from adstrata.functions.scalars import MICROS, ColumnLike, as_column
 
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
 
 
+# A key with this share of all rows is busy, unless it is small in absolute terms.
+BUSY_SHARE = 1e-4
+BUSY_ROWS = 1_000_000
+
+WHOLE_KEY = 0
+
+
+def busy_keys(
+    df: DataFrame, key: Sequence[str], share: float = BUSY_SHARE, min_rows: int = BUSY_ROWS
+) -> DataFrame:
+    """Keys that hold at least ``share`` of the rows and ``min_rows`` rows.
+
+    No more than ``1 / share`` keys can do so, which bounds the result.
+    """
+    total = df.agg(F.count(F.lit(1))).scalar()
+    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where((F.col("_n") >= min_rows) & (F.col("_n") >= total * share)).drop("_n")
+
+
+def with_bucket(df: DataFrame, key: Sequence[str], bucket: Column, busy: DataFrame) -> DataFrame:
+    """Add ``_bucket``: the given one for busy keys, a constant for the others."""
+    marked = F.broadcast(busy.select(*key, F.lit(True).alias("_busy")))
+    return (
+        df.join(marked, list(key), "left")
+        .withColumn("_bucket", F.when(F.col("_busy"), bucket).otherwise(F.lit(WHOLE_KEY).cast("bigint")))
+        .drop("_busy")
+    )
+
+
 def order_in_buckets(
     df: DataFrame,
     key: Sequence[str],
     bucket: Column,
     order: Sequence[Column],
+    busy: DataFrame,
     *,
     sequence: str | None = None,
     totals: Mapping[str, Column] | None = None,
@@ -33,14 +63,14 @@ def order_in_buckets(
 ) -> DataFrame:
     """Number rows per key, add key totals and running sums.
 
-    ``bucket`` must grow with ``order`` and must not be null. ``totals`` maps a new column to
-    an aggregate expression over sums and counts, ``running`` maps a new column to the value
-    that is summed up to and including the current row. Rows whose key is null belong to no
-    key and are dropped.
+    ``bucket`` is a bigint that grows with ``order`` and is never null; it cuts the ``busy``
+    keys. ``totals`` maps a new column to an aggregate over sums and counts, ``running`` maps
+    a new column to the value that is summed up to and including the current row. Rows whose
+    key is null belong to no key and are dropped.
     """
     totals = dict(totals or {})
     running = {name: as_column(value) for name, value in (running or {}).items()}
-    cut = df.withColumn("_bucket", bucket)
+    cut = with_bucket(df, key, bucket, busy)
 
     per_bucket = cut.groupBy(*key, "_bucket").agg(
         F.count(F.lit(1)).alias("_rows"),
@@ -99,6 +129,7 @@ def lookback_rollup(
     touch_at: str,
     collect: Lookback,
     lookback_us: int,
+    busy: DataFrame,
     bucket_us: int = HOUR_US,
     empty_list: str = "Unknown",
 ) -> DataFrame:
@@ -118,21 +149,24 @@ def lookback_rollup(
 
     Distinct lists match probes with the stretches of the listed values, which gives exactly
     the rows that end up in the lists. ``probes`` keeps all its rows and columns; equal rows
-    must have been merged before.
+    must have been merged before. The time axis of the ``busy`` keys is cut into buckets of
+    ``bucket_us``.
     """
-    if not 0 < bucket_us <= lookback_us:
-        raise ValueError("buckets must not be wider than the lookback")
     names = [*collect.distinct, *collect.lists]
 
     touch = touches.where(F.col(key).isNotNull()).select(
         F.col(key).alias("_key"),
         _micros(touch_at).alias("_us"),
-        *[value.cast("decimal(28,6)").alias(f"sum_{n}") for n, value in collect.sums.items()],
+        # Millionths as integers: exact, and cheaper to add up than decimals.
+        *[
+            (value.cast("decimal(28,6)") * F.lit(MICROS)).cast("bigint").alias(f"sum_{n}")
+            for n, value in collect.sums.items()
+        ],
         *[value.cast("string").alias(f"value_{n}") for n, value in collect.distinct.items()],
         *[value.cast("string").alias(f"value_{n}") for n, value in collect.lists.items()],
         *[condition.alias(f"edge_{n}") for n, condition in collect.edges.items()],
     )
-    stretch_edges = _stretch_edges(touch, names, lookback_us, bucket_us)
+    stretch_edges = _stretch_edges(touch, names, lookback_us)
     asked = probes.select(
         F.struct(*[F.col(name) for name in probes.columns]).alias("_probe"),
         # A probe without a key finds nothing; it gets a key of its own.
@@ -144,7 +178,7 @@ def lookback_rollup(
     )
 
     points = _points(touch, stretch_edges, asked, collect, lookback_us)
-    readings = _readings(points, collect, bucket_us)
+    readings = _readings(points, collect, busy.select(F.col(key).alias("_key")), bucket_us)
     if collect.lists:
         readings = readings.unionByName(
             _listed(stretch_edges, asked, collect, lookback_us), allowMissingColumns=True
@@ -154,7 +188,7 @@ def lookback_rollup(
     last_us = {n: F.max(F.when(F.col("_side") == 1, F.col(f"last_{n}"))) for n in collect.edges}
     grouped = readings.groupBy("_probe").agg(
         *[
-            F.coalesce(F.sum(F.col("_side") * F.col(f"run_{n}")), F.lit(0)).cast("double").alias(n)
+            (F.coalesce(F.sum(F.col("_side") * F.col(f"run_{n}")), F.lit(0)) / F.lit(float(MICROS))).alias(n)
             for n in collect.sums
         ],
         *[
@@ -202,11 +236,12 @@ def _bucket_start(bucket_us: int) -> Column:
     return F.col("_us") - F.pmod(F.col("_us"), F.lit(bucket_us))
 
 
-def _stretch_edges(touch: DataFrame, names: list[str], lookback_us: int, bucket_us: int) -> DataFrame:
+def _stretch_edges(touch: DataFrame, names: list[str], lookback_us: int) -> DataFrame:
     """Touches that open or close a stretch, per (key, dimension, value).
 
-    Touches of a value inside one bucket are closer than the lookback, so only the first and
-    last of a bucket can be an edge. That leaves one row per (key, value, bucket) to order.
+    With buckets as wide as the lookback, the touches of a value inside one bucket are closer
+    than the lookback, so only the first and last of a bucket can be an edge. That leaves one
+    row per (key, value, bucket) to order.
     """
     values = touch.select(
         "_key",
@@ -222,7 +257,7 @@ def _stretch_edges(touch: DataFrame, names: list[str], lookback_us: int, bucket_
     ).select("_key", "_us", "_dv.*")
     per_bucket = (
         values.where(F.col("_value").isNotNull())
-        .groupBy("_key", "_dim", "_value", _bucket_start(bucket_us).alias("_bucket"))
+        .groupBy("_key", "_dim", "_value", _bucket_start(lookback_us).alias("_bucket"))
         .agg(F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
     )
     by_value = Window.partitionBy("_key", "_dim", "_value").orderBy("_bucket")
@@ -252,18 +287,19 @@ def _points(
         *[F.col(f"sum_{n}") for n in collect.sums],
         *[F.when(F.col(f"edge_{n}"), F.col("_us")).alias(f"at_{n}") for n in collect.edges],
     )
+    # A value touched once in its bucket moves in and out at one point.
+    alone = F.col("_lo") == F.col("_hi")
+    arrival = F.struct(
+        F.col("_lo").alias("_us"),
+        F.col("_opens").alias("_in"),
+        (alone & F.col("_closes")).alias("_out"),
+    )
+    departure = F.struct(
+        F.col("_hi").alias("_us"), F.lit(False).alias("_in"), (~alone & F.col("_closes")).alias("_out")
+    )
     moves = (
         edges.where(F.col("_dim").isin(list(collect.distinct)))
-        .select(
-            "_key",
-            "_dim",
-            F.explode(
-                F.array(
-                    F.struct(F.col("_lo").alias("_us"), F.col("_opens").alias("_in"), F.lit(False).alias("_out")),
-                    F.struct(F.col("_hi").alias("_us"), F.lit(False).alias("_in"), F.col("_closes").alias("_out")),
-                )
-            ).alias("_m"),
-        )
+        .select("_key", "_dim", F.explode(F.array(arrival, departure)).alias("_m"))
         .select("_key", "_dim", "_m.*")
         .where(F.col("_in") | F.col("_out"))
     )
@@ -289,14 +325,16 @@ def _points(
     )
 
 
-def _readings(points: DataFrame, collect: Lookback, bucket_us: int) -> DataFrame:
+def _readings(
+    points: DataFrame, collect: Lookback, busy: DataFrame, bucket_us: int
+) -> DataFrame:
     """Prefix sums, prefix maxima and suffix minima at the probe points."""
     summed = {
         **{f"run_{n}": f"sum_{n}" for n in collect.sums},
         **{f"opened_{n}": f"in_{n}" for n in collect.distinct},
         **{f"closed_{n}": f"out_{n}" for n in collect.distinct},
     }
-    cut = points.withColumn("_bucket", _bucket_start(bucket_us))
+    cut = with_bucket(points, ["_key"], _bucket_start(bucket_us), busy)
     per_bucket = cut.groupBy("_key", "_bucket").agg(
         *[F.coalesce(F.sum(source), F.lit(0)).alias(f"_t_{name}") for name, source in summed.items()],
         *[F.max(f"at_{n}").alias(f"_hi_{n}") for n in collect.edges],
