@@ -123,15 +123,33 @@ def valid_values(df: DataFrame, table: str, column: str, allowed: Collection[str
     return _result(counted, "valid_values", table, failed == 0, failed, detail)
 
 
+def _amounts(df: DataFrame, key: str, amount: str) -> DataFrame:
+    """Amounts per key with their number of rows.
+
+    A key that is repeated many times on both sides would pair up row by row; equal amounts
+    are merged before that.
+    """
+    return df.groupBy(F.col(key).alias("_key"), F.col(amount).alias("_amount")).agg(
+        F.count(F.lit(1)).alias("_rows")
+    )
+
+
 def revenue_mismatches(reported: DataFrame, source: DataFrame, tolerance: float = 1.0) -> DataFrame:
     """Reported amounts that differ from the source by more than the tolerance.
 
-    A missing amount counts as 0. Repeated ids pair up with each other.
+    A missing amount counts as 0. Repeated ids pair up with each other; ``source_rows`` says
+    how many source rows of this amount stand behind a row.
     """
-    joined = reported.join(source, "opportunity_id", "left").withColumns(
+    booked = _amounts(source, "opportunity_id", "amount_source").select(
+        F.col("_key").alias("opportunity_id"),
+        F.col("_amount").alias("amount_source"),
+        F.col("_rows").alias("source_rows"),
+    )
+    joined = reported.join(booked, "opportunity_id", "left").withColumns(
         {
             "amount_reporting": F.coalesce("amount_reporting", F.lit(0)),
             "amount_source": F.coalesce("amount_source", F.lit(0)),
+            "source_rows": F.coalesce("source_rows", F.lit(1).cast("bigint")),
         }
     )
     difference = F.col("amount_reporting") - F.col("amount_source")
@@ -140,8 +158,19 @@ def revenue_mismatches(reported: DataFrame, source: DataFrame, tolerance: float
     )
 
 
-def revenue_reconciliation(mismatches: DataFrame, table: str = "opportunities") -> DataFrame:
-    counted = mismatches.agg(F.count(F.lit(1)).alias("failed"))
+def revenue_reconciliation(
+    reported: DataFrame, source: DataFrame, table: str = "opportunities", tolerance: float = 1.0
+) -> DataFrame:
+    """Number of mismatches, counted per pair of a reported and a source row."""
+    merged = _amounts(reported, "opportunity_id", "amount_reporting").select(
+        F.col("_key").alias("opportunity_id"),
+        F.col("_amount").alias("amount_reporting"),
+        F.col("_rows").alias("reported_rows"),
+    )
+    pairs = F.col("reported_rows") * F.col("source_rows")
+    counted = revenue_mismatches(merged, source, tolerance).agg(
+        F.coalesce(F.sum(pairs), F.lit(0)).alias("failed")
+    )
     failed = F.col("failed")
     detail = F.format_string("%d revenue mismatches found.", failed)
     return _result(counted, "revenue_reconciliation", table, failed == 0, failed, detail)
@@ -157,13 +186,19 @@ def revenue_reconciliation_strict(
     tolerance: float = 0.01,
 ) -> DataFrame:
     """Records both systems know must agree to the cent; reports the total delta."""
-    left = sales.select(F.col(sales_key).alias("_key"), F.col(sales_amount).alias("_sales"))
-    right = billing.select(F.col(billing_key).alias("_other"), F.col(billing_amount).alias("_billing"))
-    delta = F.abs(F.col("_sales") - F.col("_billing"))
+    left = _amounts(sales, sales_key, sales_amount)
+    right = _amounts(billing, billing_key, billing_amount).select(
+        "_key", F.col("_amount").alias("_billed"), F.col("_rows").alias("_billed_rows")
+    )
+    delta = F.abs(F.col("_amount") - F.col("_billed"))
+    pairs = F.col("_rows") * F.col("_billed_rows")
     counted = (
-        left.join(right, F.col("_key") == F.col("_other"))
+        left.join(right, "_key")
         .where(delta > tolerance)
-        .agg(F.count(F.lit(1)).alias("failed"), exact_sum(delta).alias("total"))
+        .agg(
+            F.coalesce(F.sum(pairs), F.lit(0)).alias("failed"),
+            exact_sum(delta * pairs).alias("total"),
+        )
     )
     failed = F.col("failed")
     detail = F.when(failed == 0, F.lit("")).otherwise(
@@ -175,7 +210,8 @@ def revenue_reconciliation_strict(
 def row_count_drop(history: DataFrame, threshold: float = 0.20) -> DataFrame:
     """Latest snapshot of each table against the one before it.
 
-    A previous count of 0, or no previous snapshot, is no drop.
+    A previous count of 0, or no previous snapshot, is no drop. The history holds one row per
+    table and snapshot, so a table's window is as long as its calendar.
     """
     by_time = Window.partitionBy("table_name").orderBy("snapshot_date")
     latest = (

@@ -61,7 +61,6 @@ def reporting_health(
     max_age_days: int = 2,
 ) -> DataFrame:
     """All checks of the reporting tables as one frame."""
-    mismatches = health.revenue_mismatches(opportunities, revenue_source)
     account_fields = ["account_id", "account_name", "segment", "updated_at"]
     deal_fields = ["opportunity_id", "account_id", "stage_name", "amount_reporting", "updated_at"]
     return health.combine(
@@ -72,7 +71,7 @@ def reporting_health(
         health.freshness(accounts, "accounts", "updated_at", max_age_days, as_of),
         health.freshness(opportunities, "opportunities", "updated_at", max_age_days, as_of),
         health.valid_values(opportunities, "opportunities", "stage_name", stages),
-        health.revenue_reconciliation(mismatches),
+        health.revenue_reconciliation(opportunities, revenue_source),
         health.row_count_drop(row_counts),
     )
 

@@ -65,9 +65,7 @@ def health_valid_values(i: Inputs) -> DataFrame:
 
 @query
 def health_revenue(i: Inputs) -> DataFrame:
-    return health.revenue_reconciliation(
-        health.revenue_mismatches(i.crm_opportunities, i.revenue_source)
-    )
+    return health.revenue_reconciliation(i.crm_opportunities, i.revenue_source)
 
 
 @query
@@ -75,6 +73,8 @@ def health_mismatch_rows(i: Inputs) -> DataFrame:
     rows = health.revenue_mismatches(i.crm_opportunities, i.revenue_source)
     return rows.select(
         "opportunity_id",
+        "account_id",
+        "source_rows",
         *[
             F.col(n).cast("double").alias(n)
             for n in ("amount_reporting", "amount_source", "revenue_difference")
@@ -328,10 +328,14 @@ CHECKS["health_freshness"] = check_sql(
 CHECKS["health_valid_values"] = check_sql(_VALID_ROW)
 CHECKS["health_revenue"] = check_sql(_REVENUE_ROW, mismatches=_MISMATCHES)
 CHECKS["health_mismatch_rows"] = check_sql(
-    """select opportunity_id, cast(amount_reporting as double) as amount_reporting,
-              cast(amount_source as double) as amount_source, cast(revenue_difference as double) as revenue_difference
-       from mismatches""",
-    mismatches=_MISMATCHES,
+    """select o.opportunity_id, account_id, coalesce(n, 1) as source_rows,
+              cast(coalesce(amount_reporting, 0) as double) as amount_reporting,
+              cast(coalesce(amount_source, 0) as double) as amount_source,
+              cast(coalesce(amount_reporting, 0) - coalesce(amount_source, 0) as double) as revenue_difference
+       from crm_opportunities o left join (
+            select opportunity_id, amount_source, count(*) as n from revenue_source group by all) r
+         on r.opportunity_id = o.opportunity_id
+       where abs(coalesce(amount_reporting, 0) - coalesce(amount_source, 0)) > 1""",
 )
 CHECKS["health_revenue_strict"] = check_sql(
     """select 'reconciliation' as check_name, 'revenue' as table_name,
