@@ -150,6 +150,8 @@ def in_windows(df: DataFrame, time: str, windows: Sequence[LabelledWindow]) -> D
     The windows are a short literal list, so rows are matched and multiplied in place,
     without a join.
     """
+    if len({w.label for w in windows}) < len(windows):
+        raise ValueError("window labels must differ")
     at = F.col(time)
     labels = [
         F.when(
