@@ -7,6 +7,7 @@ combined report is read.
 from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,73 +55,110 @@ def _result(
     )
 
 
-def required_fields(df: DataFrame, table: str, fields: Sequence[str]) -> DataFrame:
-    """One row per field: it must exist and hold no null. All fields are counted in one pass."""
-    nulls = [
-        F.count_if(F.col(name).isNull()) if name in df.columns else F.count(F.lit(1))
-        for name in fields
-    ]
-    counted = df.agg(*[count.alias(f"_n{position}") for position, count in enumerate(nulls)])
-    results = []
-    for position, name in enumerate(fields):
-        failed = F.col(f"_n{position}")
-        if name in df.columns:
-            check = "required_field_not_null"
-            passed = failed == 0
-            detail = F.format_string(f"{name} has %d missing value(s).", failed)
-        else:
-            check, passed, detail = "required_field_exists", F.lit(False), F.lit(f"{name} is missing.")
-        results.append(
-            F.struct(
-                F.lit(check).alias("check_name"),
-                F.lit(table).alias("table_name"),
-                _status(passed).alias("status"),
-                failed.alias("failed_rows"),
-                detail.alias("detail"),
-            )
-        )
-    return counted.select(F.explode(F.array(*results)).alias("_r")).select("_r.*")
+@dataclass(frozen=True)
+class ColumnCheck:
+    """A check that needs one aggregate over the table.
 
+    ``measures`` are the aggregates by name, ``results`` the result rows built from them.
+    """
 
-def duplicate_key(df: DataFrame, table: str, key: str | Sequence[str]) -> DataFrame:
-    """All members of repeated keys count as failed; null keys are equal to each other."""
-    columns = [key] if isinstance(key, str) else list(key)
-    counted = keys.repeated_keys(df, columns).agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("failed")
+    measures: dict[str, Column]
+    results: list[Column]
+
+
+def _row(check: str, passed: Column, failed: Column, detail: Column) -> Column:
+    return F.struct(
+        F.lit(check).alias("check_name"),
+        _status(passed).alias("status"),
+        F.when(passed, F.lit(0)).otherwise(failed).cast("bigint").alias("failed_rows"),
+        detail.alias("detail"),
     )
-    failed = F.col("failed")
-    detail = F.format_string(f"{', '.join(columns)} has %d duplicated row(s).", failed)
-    return _result(counted, "duplicate_primary_key", table, failed == 0, failed, detail)
 
 
-def freshness(df: DataFrame, table: str, column: str, max_age_days: int, as_of: str) -> DataFrame:
+def run_checks(df: DataFrame, table: str, *checks: ColumnCheck) -> DataFrame:
+    """All column checks of a table from one pass over it."""
+    measures = {name: value for check in checks for name, value in check.measures.items()}
+    measured = df.agg(*[value.alias(name) for name, value in measures.items()])
+    results = F.array(*[row for check in checks for row in check.results])
+    return measured.select(F.explode(results).alias("_r")).select(
+        "_r.check_name", F.lit(table).alias("table_name"), "_r.status", "_r.failed_rows", "_r.detail"
+    )
+
+
+def fields_present(columns: Collection[str], fields: Sequence[str]) -> ColumnCheck:
+    """One result per field: it must be among the columns and hold no null."""
+    measures, results = {}, []
+    for field in fields:
+        name = f"nulls in {field}"
+        failed = F.col(f"`{name}`")
+        if field in columns:
+            measures[name] = F.count_if(F.col(field).isNull())
+            detail = F.format_string(f"{field} has %d missing value(s).", failed)
+            results.append(_row("required_field_not_null", failed == 0, failed, detail))
+        else:
+            measures[name] = F.count(F.lit(1))
+            results.append(
+                _row("required_field_exists", F.lit(False), failed, F.lit(f"{field} is missing."))
+            )
+    return ColumnCheck(measures, results)
+
+
+def fresh(column: str, max_age_days: int, as_of: str) -> ColumnCheck:
     """The newest record may be ``max_age_days`` old; otherwise every row counts as failed.
 
     A table without any time fails as well.
     """
-    newest = df.agg(F.max(column).alias("newest"), F.count(F.lit(1)).alias("n"))
-    age = days_between("newest", F.lit(as_of).cast("date"))
-    detail = F.coalesce(
-        F.format_string("Newest record is %d day(s) old.", age), F.lit("No record has a time.")
+    newest, total = f"newest {column}", f"rows with {column}"
+    age = days_between(F.col(f"`{newest}`"), F.lit(as_of).cast("date"))
+    detail = F.when(age.isNull(), F.lit("No record has a time.")).otherwise(
+        F.format_string("Newest record is %d day(s) old.", age)
+    )
+    return ColumnCheck(
+        {newest: F.max(column), total: F.count(F.lit(1))},
+        [_row("freshness", true_only(age <= max_age_days), F.col(f"`{total}`"), detail)],
     )
-    detail = F.when(F.col("newest").isNull(), F.lit("No record has a time.")).otherwise(detail)
-    return _result(newest, "freshness", table, true_only(age <= max_age_days), F.col("n"), detail)
 
 
-def valid_values(df: DataFrame, table: str, column: str, allowed: Collection[str]) -> DataFrame:
+def values_in(column: str, allowed: Collection[str]) -> ColumnCheck:
     """Values outside the allowed set. Null counts as invalid but is not listed."""
     value = F.col(column)
     invalid = ~true_only(value.isin(sorted(allowed)))
-    counted = df.agg(
-        F.count_if(invalid).alias("failed"),
-        F.array_sort(F.collect_set(F.when(invalid, value.cast("string")))).alias("listed"),
-    )
-    quoted = F.transform("listed", lambda v: F.concat(F.lit("'"), v, F.lit("'")))
+    count, listed = f"invalid {column}", f"listed {column}"
+    quoted = F.transform(F.col(f"`{listed}`"), lambda v: F.concat(F.lit("'"), v, F.lit("'")))
     detail = F.concat(
         F.lit(f"{column} has invalid values: ["), F.array_join(quoted, ", "), F.lit("]")
     )
+    failed = F.col(f"`{count}`")
+    return ColumnCheck(
+        {
+            count: F.count_if(invalid),
+            listed: F.array_sort(F.collect_set(F.when(invalid, value.cast("string")))),
+        },
+        [_row("valid_values", failed == 0, failed, detail)],
+    )
+
+
+def required_fields(df: DataFrame, table: str, fields: Sequence[str]) -> DataFrame:
+    return run_checks(df, table, fields_present(df.columns, fields))
+
+
+def freshness(df: DataFrame, table: str, column: str, max_age_days: int, as_of: str) -> DataFrame:
+    return run_checks(df, table, fresh(column, max_age_days, as_of))
+
+
+def valid_values(df: DataFrame, table: str, column: str, allowed: Collection[str]) -> DataFrame:
+    return run_checks(df, table, values_in(column, allowed))
+
+
+def duplicate_key(df: DataFrame, table: str, key: str | Sequence[str]) -> DataFrame:
+    """All members of repeated keys count as failed; null keys are equal to each other."""
+    columns = [key] if isinstance(key, str) else list(key)
+    counted = keys.repeated_keys(df, columns).agg(
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("failed")
+    )
     failed = F.col("failed")
-    return _result(counted, "valid_values", table, failed == 0, failed, detail)
+    detail = F.format_string(f"{', '.join(columns)} has %d duplicated row(s).", failed)
+    return _result(counted, "duplicate_primary_key", table, failed == 0, failed, detail)
 
 
 def _amounts(df: DataFrame, key: str, amount: str) -> DataFrame:
@@ -158,6 +196,13 @@ def revenue_mismatches(reported: DataFrame, source: DataFrame, tolerance: float
     )
 
 
+def largest_mismatches(mismatches: DataFrame, n: int = 20) -> DataFrame:
+    """The ``n`` mismatches with the largest difference, for the report."""
+    size = mismatches.withColumn("_size", F.abs("revenue_difference"))
+    ties = ["opportunity_id", "amount_reporting", "amount_source"]
+    return keys.top_rows(size, "_size", n, *ties).drop("_size")
+
+
 def revenue_reconciliation(
     reported: DataFrame, source: DataFrame, table: str = "opportunities", tolerance: float = 1.0
 ) -> DataFrame:

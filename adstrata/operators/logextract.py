@@ -137,8 +137,8 @@ def at_level(level: str, ids: Sequence[int | str]) -> Column:
     return F.col(level if level in HIERARCHY else "advertiser_id").isin(list(ids))
 
 
-def pull(events: DataFrame, request: LogRequest) -> DataFrame:
-    """Filtered and projected log rows.
+def selected(events: DataFrame, request: LogRequest) -> DataFrame:
+    """Log rows of the window, the ids and the kind of events asked for.
 
     The filters stand on stored columns and the local bounds are turned into UTC literals,
     so both reach the scan.
@@ -148,6 +148,12 @@ def pull(events: DataFrame, request: LogRequest) -> DataFrame:
         rows = rows.where(at_level(request.level, request.ids))
     if request.events_only:
         rows = rows.where(any_event())
+    return rows
+
+
+def pull(events: DataFrame, request: LogRequest) -> DataFrame:
+    """Selected rows with the columns asked for."""
+    rows = selected(events, request)
     dims, mets = known_columns(request.columns, events.columns)
 
     def output(name: str) -> Column:

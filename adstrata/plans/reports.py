@@ -60,17 +60,25 @@ def reporting_health(
     as_of: str,
     max_age_days: int = 2,
 ) -> DataFrame:
-    """All checks of the reporting tables as one frame."""
+    """All checks of the reporting tables as one frame; one pass per table for the column checks."""
     account_fields = ["account_id", "account_name", "segment", "updated_at"]
     deal_fields = ["opportunity_id", "account_id", "stage_name", "amount_reporting", "updated_at"]
     return health.combine(
-        health.required_fields(accounts, "accounts", account_fields),
-        health.required_fields(opportunities, "opportunities", deal_fields),
+        health.run_checks(
+            accounts,
+            "accounts",
+            health.fields_present(accounts.columns, account_fields),
+            health.fresh("updated_at", max_age_days, as_of),
+        ),
+        health.run_checks(
+            opportunities,
+            "opportunities",
+            health.fields_present(opportunities.columns, deal_fields),
+            health.fresh("updated_at", max_age_days, as_of),
+            health.values_in("stage_name", stages),
+        ),
         health.duplicate_key(accounts, "accounts", "account_id"),
         health.duplicate_key(opportunities, "opportunities", "opportunity_id"),
-        health.freshness(accounts, "accounts", "updated_at", max_age_days, as_of),
-        health.freshness(opportunities, "opportunities", "updated_at", max_age_days, as_of),
-        health.valid_values(opportunities, "opportunities", "stage_name", stages),
         health.revenue_reconciliation(opportunities, revenue_source),
         health.row_count_drop(row_counts),
     )
@@ -95,3 +103,14 @@ def identity_delivery(
     report = logextract.build_report(events, request, hierarchy, lookups)
     stitched = identity.resolve(report, edges, crosswalk)
     return identity.Stitched(rows=identity.export_rows(stitched.rows), rates=stitched.rates)
+
+
+def performance_report(
+    events: DataFrame,
+    group: list[str],
+    request: logextract.LogRequest,
+    sample: bool = False,
+) -> DataFrame:
+    """Delivery totals of the rows a request selects. A sample holds the first 100 groups."""
+    totals = logextract.performance_totals(logextract.selected(events, request), group)
+    return logextract.sample_rows(totals, group, 100) if sample else totals

@@ -141,6 +141,19 @@ def lld_agg(i: Inputs) -> DataFrame:
     return logextract.performance_totals(i.event_log, group)
 
 
+@query
+def lld_performance(i: Inputs) -> DataFrame:
+    """Totals of the delivered events of a local month per line item and device."""
+    request = _request(columns=[], events_only=True)
+    return reports.performance_report(i.event_log, ["line_item_id", "device_type"], request)
+
+
+@query
+def lld_performance_sample(i: Inputs) -> DataFrame:
+    group = ["advertiser_id", "line_item_id", "request_duid_sha256"]
+    return reports.performance_report(i.event_log, group, _request(columns=[]), sample=True)
+
+
 @query
 def lld_device_totals(i: Inputs) -> DataFrame:
     group = ["request_duid_sha256", "most_associated_duid_sha256", "campaign_id"]
@@ -212,9 +225,12 @@ def lld_timefmt(i: Inputs) -> DataFrame:
 
 
 def _edges(i: Inputs) -> DataFrame:
-    """The flat edges nested per identity, as the graph files hold them, and flattened again."""
-    nested = i.identity_edges.groupBy("luid").agg(
-        F.collect_list(F.struct(F.col("duid").alias("id"))).alias("duids")
+    """Edges as the graph files hold them, nested and untrimmed, flattened again."""
+    nested = i.identity_edges.select(
+        "luid",
+        F.array(
+            F.struct(F.col("duid").alias("id")), F.struct(F.concat(F.lit(" "), "duid").alias("id"))
+        ).alias("duids"),
     )
     return identity.flatten_graph(nested)
 
@@ -334,6 +350,14 @@ CHECKS["lld_agg"] = check_sql(
     f"""select advertiser_id, campaign_id, line_item_id, nativead_id, request_duid_sha256, {_TOTALS}
         from event_log group by all"""
 )
+CHECKS["lld_performance"] = check_sql(
+    f"""select line_item_id, device_type, {_TOTALS} from event_log
+        where {_IN_JANUARY} and (has_won = 1 or has_click = 1 or has_conv = 1) group by line_item_id, device_type"""
+)
+CHECKS["lld_performance_sample"] = check_sql(
+    f"""select advertiser_id, line_item_id, request_duid_sha256, {_TOTALS} from event_log where {_IN_JANUARY}
+        group by 1, 2, 3 order by 1, 2, 3 limit 100"""
+)
 CHECKS["lld_device_totals"] = check_sql(
     f"""select request_duid_sha256, most_associated_duid_sha256, campaign_id, {_TOTALS}
         from event_log group by all"""

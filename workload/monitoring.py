@@ -82,6 +82,14 @@ def health_mismatch_rows(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def health_top_mismatches(i: Inputs) -> DataFrame:
+    rows = health.revenue_mismatches(i.crm_opportunities, i.revenue_source)
+    return health.largest_mismatches(rows).select(
+        "opportunity_id", F.col("revenue_difference").cast("double").alias("revenue_difference")
+    )
+
+
 @query
 def health_revenue_strict(i: Inputs) -> DataFrame:
     return health.revenue_reconciliation_strict(
@@ -337,6 +345,15 @@ CHECKS["health_mismatch_rows"] = check_sql(
          on r.opportunity_id = o.opportunity_id
        where abs(coalesce(amount_reporting, 0) - coalesce(amount_source, 0)) > 1""",
 )
+CHECKS["health_top_mismatches"] = check_sql(
+    """select o.opportunity_id,
+              cast(coalesce(amount_reporting, 0) - coalesce(amount_source, 0) as double) as revenue_difference
+       from crm_opportunities o left join (select distinct opportunity_id, amount_source from revenue_source) r
+         on r.opportunity_id = o.opportunity_id
+       where abs(coalesce(amount_reporting, 0) - coalesce(amount_source, 0)) > 1
+       order by abs(coalesce(amount_reporting, 0) - coalesce(amount_source, 0)) desc, o.opportunity_id,
+                coalesce(amount_reporting, 0), coalesce(amount_source, 0) limit 20"""
+)
 CHECKS["health_revenue_strict"] = check_sql(
     """select 'reconciliation' as check_name, 'revenue' as table_name,
               case when count(*) = 0 then 'pass' else 'fail' end as status, count(*) as failed_rows,

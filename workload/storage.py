@@ -77,9 +77,7 @@ def store_crosswalk(i: Inputs) -> DataFrame:
 
 @query
 def store_nested_graph(i: Inputs) -> DataFrame:
-    nested = i.identity_edges.groupBy("luid").agg(
-        F.collect_list(F.struct(F.col("duid").alias("id"))).alias("duids")
-    )
+    nested = i.identity_edges.select("luid", F.array(F.struct(F.col("duid").alias("id"))).alias("duids"))
     path = writers.write_files(nested, _folder(i), "parquet")
     return readers.identity_graph(i.spark, path).select("luid", F.explode("duids.id").alias("duid"))
 
