@@ -119,25 +119,6 @@ def fresh(column: str, max_age_days: int, as_of: str) -> ColumnCheck:
     )
 
 
-def values_in(column: str, allowed: Collection[str]) -> ColumnCheck:
-    """Values outside the allowed set. Null counts as invalid but is not listed."""
-    value = F.col(column)
-    invalid = ~true_only(value.isin(sorted(allowed)))
-    count, listed = f"invalid {column}", f"listed {column}"
-    quoted = F.transform(F.col(f"`{listed}`"), lambda v: F.concat(F.lit("'"), v, F.lit("'")))
-    detail = F.concat(
-        F.lit(f"{column} has invalid values: ["), F.array_join(quoted, ", "), F.lit("]")
-    )
-    failed = F.col(f"`{count}`")
-    return ColumnCheck(
-        {
-            count: F.count_if(invalid),
-            listed: F.array_sort(F.collect_set(F.when(invalid, value.cast("string")))),
-        },
-        [_row("valid_values", failed == 0, failed, detail)],
-    )
-
-
 def required_fields(df: DataFrame, table: str, fields: Sequence[str]) -> DataFrame:
     return run_checks(df, table, fields_present(df.columns, fields))
 
@@ -146,8 +127,37 @@ def freshness(df: DataFrame, table: str, column: str, max_age_days: int, as_of:
     return run_checks(df, table, fresh(column, max_age_days, as_of))
 
 
-def valid_values(df: DataFrame, table: str, column: str, allowed: Collection[str]) -> DataFrame:
-    return run_checks(df, table, values_in(column, allowed))
+def invalid_values(df: DataFrame, column: str, allowed: Collection[str]) -> DataFrame:
+    """Values outside the allowed set with their rows; null is one of them."""
+    value = F.col(column)
+    return (
+        df.where(~true_only(value.isin(sorted(allowed))))
+        .groupBy(value.cast("string").alias("value"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+
+
+def valid_values(
+    df: DataFrame, table: str, column: str, allowed: Collection[str], max_listed: int = 1000
+) -> DataFrame:
+    """Rows outside the allowed set. Null counts as invalid but is not listed.
+
+    The detail lists the values; above ``max_listed`` it gives their number, and
+    ``invalid_values`` has them all.
+    """
+    invalid = invalid_values(df, column, allowed)
+    counted = invalid.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("failed"), F.count("value").alias("kinds")
+    )
+    first = invalid.where(F.col("value").isNotNull()).orderBy("value").limit(max_listed)
+    quoted = F.concat(F.lit("'"), F.col("value"), F.lit("'"))
+    listed = first.agg(F.array_join(F.array_sort(F.collect_list(quoted)), ", ")).scalar()
+    failed, kinds = F.col("failed"), F.col("kinds")
+    detail = F.when(
+        kinds <= max_listed,
+        F.concat(F.lit(f"{column} has invalid values: ["), listed, F.lit("]")),
+    ).otherwise(F.format_string(f"{column} has %d invalid values", kinds))
+    return _result(counted, "valid_values", table, failed == 0, failed, detail)
 
 
 def duplicate_key(df: DataFrame, table: str, key: str | Sequence[str]) -> DataFrame:

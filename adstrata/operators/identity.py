@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from adstrata.functions.labels import first_match
@@ -122,19 +122,33 @@ def stitch(log: DataFrame, directory: DataFrame) -> DataFrame:
     ).drop("_own", "_linked")
 
 
-def fill_rates(stitched: DataFrame) -> DataFrame:
-    """Rows with and without an identity or client key, and their shares, in one aggregate."""
+def _fill_measures() -> list[Column]:
     luid = F.count("matched_luid")
     key = F.count("synthetic_key")
     total = F.count(F.lit(1))
-    return stitched.agg(
+    return [
         total.alias("total_rows"),
         luid.alias("rows_with_luid"),
         (total - luid).alias("rows_without_luid"),
         key.alias("rows_with_key"),
         ratio(luid, total).alias("luid_fill_rate"),
         ratio(key, total).alias("key_fill_rate"),
-    )
+    ]
+
+
+def fill_rates(stitched: DataFrame) -> DataFrame:
+    """Rows with and without an identity or client key, and their shares, in one aggregate."""
+    return stitched.agg(*_fill_measures())
+
+
+def observe_fill(stitched: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows, and their fill rates as a by-product of writing them.
+
+    Saves the second run that a separate aggregate would need. ``Observation.get`` has the
+    rates once the rows have been written.
+    """
+    observation = Observation("fill_rates")
+    return stitched.observe(observation, *_fill_measures()), observation
 
 
 def fill_alerts(

@@ -35,7 +35,7 @@ def _as_time(df: DataFrame, *names: str) -> dict[str, Column]:
     return {
         name: F.try_to_timestamp(F.col(name)).cast("timestamp_ntz")
         for name in names
-        if isinstance(types[name], T.StringType)
+        if isinstance(types.get(name), T.StringType)
     }
 
 
@@ -113,7 +113,8 @@ def validate_touchpoints(opportunities: DataFrame, touchpoints: DataFrame) -> Va
     of an open deal leaves silently, a late one is recorded. Repeated touches are all
     recorded and one stays. A touch may be recorded under several types.
     """
-    deals = opportunities.select(
+    touchpoints = touchpoints.withColumns(_as_time(touchpoints, "touch_date"))
+    deals = clean_opportunities(opportunities).select(
         F.col("opportunity_id"),
         F.col("account_id").alias("deal_account"),
         F.col("close_date").alias("deal_close"),

@@ -14,7 +14,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join partition even where that costs one more exchange later on.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 # Settings that only a new session takes.

@@ -162,6 +162,9 @@ def test_stitching_keeps_rows(spark, graph, rows, restrict):
     (rates,) = identity.fill_alerts(result.rates).collect()
     assert (rates.total_rows, rates.rows_with_luid, rates.rows_without_luid, rates.rows_with_key) == (6, 4, 2, 4)
     assert rates.luid_fill_alert is True and rates.key_fill_alert is False
+    observed, observation = identity.observe_fill(result.rows)
+    observed.write.format("noop").mode("overwrite").save()
+    assert observation.get["rows_with_luid"] == 4 and observation.get["luid_fill_rate"] == rates.luid_fill_rate
 
 
 def test_device_ids(spark, rows):
