@@ -202,9 +202,7 @@ def lookback_rollup(
         *[value.alias(f"_last_{n}") for n, value in last_us.items()],
         F.max("_us").alias("_us"),
         *[
-            F.array_join(
-                F.array_sort(F.collect_set(F.when(F.col("_list") == n, F.col("_value")))), " / "
-            ).alias(n)
+            F.collect_set(F.when(F.col("_list") == n, F.col("_value"))).alias(n)
             for n in collect.lists
         ],
     )
@@ -220,7 +218,12 @@ def lookback_rollup(
             _time(F.when(F.col(f"_last_{n}") >= start_us, F.col(f"_last_{n}"))).alias(f"last_{n}")
             for n in collect.edges
         ],
-        *[F.when(F.col(n) == "", F.lit(empty_list)).otherwise(F.col(n)).alias(n) for n in collect.lists],
+        *[
+            F.when(F.size(n) == 0, F.lit(empty_list))
+            .otherwise(F.array_join(F.array_sort(n), " / "))
+            .alias(n)
+            for n in collect.lists
+        ],
     )
 
 

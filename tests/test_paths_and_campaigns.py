@@ -156,6 +156,13 @@ def test_conversion_without_touches_or_user(frame, campaigns, rows):
     ]
 
 
+def test_blank_labels_stay_blank(frame, campaigns, rows):
+    result = paths.conversion_paths(
+        frame(event("i", "impression", AT, device_type=" "), event("x", "conversion", AT)), campaigns
+    )
+    assert rows(result, "device_type_list") == [("",)]
+
+
 def test_equal_conversions_add_their_touch_cost(frame, campaigns, rows):
     result = paths.conversion_paths(
         frame(
