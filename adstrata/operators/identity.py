@@ -47,7 +47,7 @@ def device_ids(log: DataFrame) -> DataFrame:
 
 
 def flatten_graph(graph: DataFrame) -> DataFrame:
-    """Distinct ``(luid, duid)`` edges of a nested graph with ``duids: array<struct<id>>``."""
+    """Clean ``(luid, duid)`` edges of a nested graph with ``duids: array<struct<id>>``."""
     usable = F.col("luid").isNotNull() & (F.trim("luid") != "") & (F.size("duids") > 0)
     return clean_edges(
         graph.where(usable).select("luid", F.explode("duids.id").alias("duid"))
@@ -55,14 +55,14 @@ def flatten_graph(graph: DataFrame) -> DataFrame:
 
 
 def clean_edges(edges: DataFrame) -> DataFrame:
-    """Trimmed, complete and distinct edges."""
+    """Trimmed and complete edges. Repeated ones may stay, because a pick takes each value once."""
     trimmed = edges.select(F.trim("luid").alias("luid"), F.trim("duid").alias("duid"))
-    return trimmed.where((F.col("luid") != "") & (F.col("duid") != "")).distinct()
+    return trimmed.where((F.col("luid") != "") & (F.col("duid") != ""))
 
 
 def restrict_edges(edges: DataFrame, devices: DataFrame) -> DataFrame:
-    """Edges of the given devices. Pays off when the graph is larger than the log."""
-    return keys.matched(edges, devices, ["duid"])
+    """Distinct edges of the given devices."""
+    return keys.matched(edges, devices, ["duid"]).distinct()
 
 
 def pick_luids(edges: DataFrame, seed: int = SEED) -> DataFrame:
@@ -71,12 +71,8 @@ def pick_luids(edges: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def clean_crosswalk(crosswalk: DataFrame, luid: str, key: str) -> DataFrame:
-    """Complete, distinct ``(luid, synthetic_key)`` pairs."""
-    return (
-        crosswalk.select(F.col(luid).alias("luid"), F.col(key).alias("synthetic_key"))
-        .dropna()
-        .distinct()
-    )
+    """Complete ``(luid, synthetic_key)`` pairs."""
+    return crosswalk.select(F.col(luid).alias("luid"), F.col(key).alias("synthetic_key")).dropna()
 
 
 def pick_synthetic_keys(crosswalk: DataFrame, seed: int = SEED) -> DataFrame:
@@ -194,10 +190,11 @@ def resolve(
     """Stitch a log with cleaned edges and crosswalk.
 
     ``restrict`` cuts the edges down to the devices in the log and the crosswalk to their
-    identities first. The result is the same: picks are made per device and per identity.
+    identities first, which pays off when the graph is larger than the log. The result is the
+    same: picks are made per device and per identity.
     """
     if restrict:
-        edges = restrict_edges(edges, device_ids(log))
+        edges = keys.matched(edges, device_ids(log), ["duid"])
     luids = pick_luids(edges, seed)
     if restrict:
         crosswalk = keys.matched(crosswalk, luids, ["luid"])

@@ -119,7 +119,9 @@ def graph(spark):
 
 
 def test_graph_is_flattened_and_cleaned(graph, rows):
-    assert rows(identity.flatten_graph(graph), "luid", "duid") == [("L1", "d1"), ("L1", "d2"), ("L2", "d2")]
+    edges = identity.flatten_graph(graph)
+    assert rows(edges, "luid", "duid") == [("L1", "d1"), ("L1", "d2"), ("L2", "d2"), ("L2", "d2")]
+    assert rows(identity.restrict_edges(edges, edges.where("duid = 'd2'").select("duid")), "luid") == [("L1",), ("L2",)]
 
 
 def test_picks_do_not_depend_on_partitions(spark):
