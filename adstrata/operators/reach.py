@@ -92,27 +92,42 @@ def _all_present(group: Sequence[str]) -> Column:
 
 def frequency_histogram(frequency: DataFrame, group: Sequence[str]) -> DataFrame:
     """Users per number of impressions, in long form."""
-    return (
-        frequency.groupBy(*group, "imps")
-        .agg(F.count(F.lit(1)).alias("users"))
-        .orderBy(*group, "imps")
-    )
+    return _histogram(frequency, group).orderBy(*group, "imps")
+
+
+def _histogram(frequency: DataFrame, group: Sequence[str], *labels: Column) -> DataFrame:
+    return frequency.groupBy(*group, "imps").agg(F.count(F.lit(1)).alias("users"), *labels)
+
+
+def _users(condition: Column) -> Column:
+    return F.sum(F.when(condition, F.col("users")).otherwise(F.lit(0)))
 
 
 def _base() -> list[Column]:
-    return [F.count(F.lit(1)).alias("reach"), F.sum("imps").alias("impressions")]
+    return [
+        F.sum("users").alias("reach"),
+        F.sum(F.col("imps") * F.col("users")).alias("impressions"),
+    ]
 
 
 def _at_least(thresholds: Sequence[int]) -> list[Column]:
-    return [F.count_if(F.col("imps") >= k).alias(f"{k}+") for k in thresholds]
+    return [_users(F.col("imps") >= k).alias(f"{k}+") for k in thresholds]
+
+
+def _exactly(counts: Sequence[int]) -> list[Column]:
+    return [_users(F.col("imps") == n).alias(f"{n}x") for n in counts]
 
 
 def cumulative_distribution(
     frequency: DataFrame, group: Sequence[str], thresholds: Sequence[int] = THRESHOLDS
 ) -> DataFrame:
-    """Reach and the users with at least k impressions for every threshold, in one aggregate."""
+    """Reach and the users with at least k impressions for every threshold.
+
+    The many conditions run over the histogram, which has few rows, not over the users.
+    """
     return (
-        frequency.groupBy(*group)
+        _histogram(frequency, group)
+        .groupBy(*group)
         .agg(*_base(), *_at_least(thresholds))
         .withColumn("avg_imp_per_user", ratio("impressions", "reach"))
     )
@@ -126,8 +141,9 @@ def exact_distribution(
     The counts are given, which keeps the columns fixed and saves the pass that finds them.
     """
     return (
-        frequency.groupBy(*group)
-        .agg(*_base(), *[F.count_if(F.col("imps") == n).alias(f"{n}x") for n in counts])
+        _histogram(frequency, group)
+        .groupBy(*group)
+        .agg(*_base(), *_exactly(counts))
         .withColumn("avg_imp_per_user", ratio("impressions", "reach"))
     )
 
@@ -208,14 +224,10 @@ def campaign_report(
     """
     label = [F.min(name).alias(name)] if name else []
     return (
-        frequency.groupBy(*group)
-        .agg(
-            *label,
-            F.count(F.lit(1)).alias("reach"),
-            F.sum("imps").alias("total_impressions"),
-            *[F.count_if(F.col("imps") == n).alias(f"{n}x") for n in exact],
-            *_at_least(SHORT_THRESHOLDS),
-        )
+        _histogram(frequency, group, *label)
+        .groupBy(*group)
+        .agg(*label, *_base(), *_exactly(exact), *_at_least(SHORT_THRESHOLDS))
+        .withColumnRenamed("impressions", "total_impressions")
         .withColumn("avg_frequency", F.round(ratio("total_impressions", "reach"), 2))
     )
 
