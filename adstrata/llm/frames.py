@@ -54,7 +54,7 @@ def append_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
-        for batch in batches:
+        for batch in sliced(batches):
             made = work(*[batch.column(i) for i in at])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(n_kept)] + list(made), names=names
@@ -63,6 +63,15 @@ def append_columns(
     return needed.mapInArrow(run, schema)
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``SLICE_BYTES``; an empty one stays."""
+    for batch in batches:
+        rows = batch.num_rows
+        step = max(1, rows * SLICE_BYTES // max(1, batch.nbytes))
+        for a in range(0, max(rows, 1), step):
+            yield batch.slice(a, step)
+
+
 def raw_texts(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column."""
     return column.cast(pa.binary()).to_pylist()

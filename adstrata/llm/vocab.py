@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 from adstrata.llm.frames import SLICE_BYTES
 
 # Words kept in a worker's table of known words; a full table is emptied.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 500_000
 # The pattern that the byte-level tokenizer files apply when they name none.
 BYTE_LEVEL_PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
