@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adstrata.llm import bpe
-from adstrata.llm.frames import table
+from adstrata.llm import bpe, sharding, token_counts, token_store
+from adstrata.llm.frames import scratch_path, table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
+SHARDS = 24
+TOKEN_LIMIT = 1024
 
 
 def op1_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,5 +27,46 @@ def op1_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_bpe_round_trip": op1_bpe_round_trip}
+def op2_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's place in 24 shards of near equal bytes; equal texts lie together."""
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, folder, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + F.lit(8)).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.xxhash64(text).alias("digest"),
+    )
+    placed = sharding.assign_shards(docs, SHARDS, F.col("size"), F.col("digest"), F.col("doc_id"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op7_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids, written to a store and read back."""
+    out = scratch_path(spark, "token-store")
+    token_store.write_store(table(spark, folder, "documents"), out, WORDS)
+    return token_store.read_store(spark, out).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("packed").alias("ids_crc32")
+    )
+
+
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document under the byte-level vocabulary."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, BYTES).select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        "n_tokens",
+        (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"),
+    )
+
+
+QUERIES = {
+    "op1_bpe_round_trip": op1_bpe_round_trip,
+    "op2_shards": op2_shards,
+    "op7_token_store": op7_token_store,
+    "op10_token_counts": op10_token_counts,
+}
 CHECKS: dict[str, str] = {}
