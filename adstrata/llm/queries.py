@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adstrata.llm import bpe, sharding, token_counts, token_store
+from adstrata.llm import bpe, quality, sharding, token_counts, token_store
 from adstrata.llm.frames import scratch_path, table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -43,6 +43,60 @@ def op2_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Measurements and verdict of the current policy for every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return quality.ledger(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~quality.passes(quality.BASE)).alias("base_failed"),
+        quality.passes(quality.CURRENT).alias("kept"),
+        "failures",
+    )
+
+
+OP4_SQL = """
+with words as (
+  select doc_id, coalesce(text, '') as t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as lines
+  from documents
+),
+numbered as (select row_number() over () as row, * from words),
+windows as (
+  select row, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as g
+  from numbered, unnest(range(1, len(w) - 1)) as r(i)
+),
+repeated as (select row, i from windows qualify count(*) over (partition by row, g) > 1),
+covered as (
+  select row, count(distinct i + k) as n from repeated, (values (0), (1), (2)) as o(k) group by row
+),
+measured as (
+  select doc_id, cast(len(w) as bigint) as n_words,
+    cast(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) as bigint) as word_chars,
+    cast(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+    cast(length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) as bigint) as n_upper,
+    cast(length(t) - length(regexp_replace(t, '[0-9]', '', 'g')) as bigint) as n_digits,
+    cast(length(t) - length(replace(t, '!', '')) as bigint) as n_bangs,
+    cast(len(lines) as bigint) as n_lines,
+    cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines,
+    cast(coalesce(n, 0) as bigint) as n_repeat_words
+  from numbered left join covered using (row)
+),
+failed as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+    cast(
+      if(n_words < 50, 1, 0) + if(100 * n_repeat_words > 50 * n_words, 2, 0) + if(100 * n_symbols > 10 * n_words, 4, 0)
+      + if(100 * n_dup_lines > 30 * n_lines, 8, 0) + if(word_chars < 3 * n_words, 16, 0)
+      + if(word_chars > 10 * n_words, 32, 0) + if(100 * n_upper > 30 * word_chars, 64, 0)
+      + if(100 * n_digits > 20 * word_chars, 128, 0) + if(100 * n_bangs > 30 * n_words, 256, 0)
+    as bigint) as failures
+  from measured
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failures = 0 as kept, failures
+from failed
+"""
+
+
 def op7_token_store(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's ids, written to a store and read back."""
     out = scratch_path(spark, "token-store")
@@ -66,7 +120,8 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_shards": op2_shards,
+    "op4_quality": op4_quality,
     "op7_token_store": op7_token_store,
     "op10_token_counts": op10_token_counts,
 }
-CHECKS: dict[str, str] = {}
+CHECKS = {"op4_quality": OP4_SQL}
