@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adstrata.llm import bpe, quality, sharding, token_counts, token_store
+from adstrata.llm import bpe, pii, quality, sharding, token_counts, token_store
 from adstrata.llm.frames import scratch_path, table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -106,6 +106,21 @@ def op7_token_store(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data and revealing words of every document."""
+    found = pii.find(table(spark, folder, "documents").select("doc_id", "text"))
+    n_of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    written = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+    return found.select(
+        "doc_id",
+        *[n_of(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(written(F.filter("spans", lambda s: s["kind"] != pii.TERM)), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document under the byte-level vocabulary."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -122,6 +137,7 @@ QUERIES = {
     "op2_shards": op2_shards,
     "op4_quality": op4_quality,
     "op7_token_store": op7_token_store,
+    "op8_pii": op8_pii,
     "op10_token_counts": op10_token_counts,
 }
 CHECKS = {"op4_quality": OP4_SQL}
