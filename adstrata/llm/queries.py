@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adstrata.llm import bpe, pii, quality, sharding, token_counts, token_store
-from adstrata.llm.frames import scratch_path, table
+from adstrata.llm import bpe, chat, licenses, pii, quality, sharding, token_counts, token_store
+from adstrata.llm.frames import scratch_path, stored, table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -97,6 +97,27 @@ from failed
 """
 
 
+def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and notices of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return licenses.scan(docs).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
+def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation and one with control strings in it, formatted, written, and read back."""
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    blocks = stored(chat.format_conversations(rows, BYTES), "chat")
+    return chat.summarise(blocks).select(
+        "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_tokens", "n_loss_tokens"
+    )
+
+
 def op7_token_store(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's ids, written to a store and read back."""
     out = scratch_path(spark, "token-store")
@@ -136,6 +157,8 @@ QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_shards": op2_shards,
     "op4_quality": op4_quality,
+    "op5_licenses": op5_licenses,
+    "op6_chat": op6_chat,
     "op7_token_store": op7_token_store,
     "op8_pii": op8_pii,
     "op10_token_counts": op10_token_counts,
