@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adstrata.llm import bpe, chat, licenses, pii, quality, sharding, token_counts, token_store
+from adstrata.llm import bpe, chat, decontaminate, licenses, pii, quality, sharding, token_counts, token_store
 from adstrata.llm.frames import scratch_path, stored, table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -43,6 +43,16 @@ def op2_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that leak a benchmark item, one row for each such pair."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, table(spark, folder, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select(
+        "doc_id", "leak.item_id", "leak.n_covered", "leak.n_words", "leak.coverage",
+        F.size("leak.tiles").cast("long").alias("n_tiles"),
+    )
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Measurements and verdict of the current policy for every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -156,6 +166,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_shards": op2_shards,
+    "op3_decontaminate": op3_decontaminate,
     "op4_quality": op4_quality,
     "op5_licenses": op5_licenses,
     "op6_chat": op6_chat,
