@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adstrata.llm import bpe, chat, decontaminate, licenses, pii, quality, sharding, token_counts, token_store
+from adstrata.llm import bpe, chat, decontaminate, jaccard, licenses, pii, quality, sharding, token_counts, token_store
 from adstrata.llm.frames import scratch_path, stored, table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -152,6 +152,12 @@ def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """The component of similar documents that every document is in."""
+    found = jaccard.near_duplicates(table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document under the byte-level vocabulary."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -172,6 +178,7 @@ QUERIES = {
     "op6_chat": op6_chat,
     "op7_token_store": op7_token_store,
     "op8_pii": op8_pii,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_token_counts": op10_token_counts,
 }
 CHECKS = {"op4_quality": OP4_SQL}
