@@ -6,7 +6,8 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adstrata.session import shared_folder
@@ -34,6 +35,14 @@ def without(df: DataFrame, names: list[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in replaced]
 
 
+def computed_once(df: DataFrame, kept: list[str], columns: dict[str, Column]) -> DataFrame:
+    """``kept`` and the new columns, made by a generator of one row.
+
+    No filter is pushed below a generator, so costly expressions are not repeated in one.
+    """
+    return df.select(*kept, F.stack(F.lit(1), *columns.values()).alias(*columns))
+
+
 def append_columns(
     df: DataFrame,
     inputs: list[str],

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adstrata.llm.frames import column_name, stored, without
+from adstrata.llm.frames import column_name, computed_once, stored, without
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -142,11 +142,8 @@ def base_spans(df: DataFrame, text: str, spans: str = "spans") -> DataFrame:
     columns = [c for kind in KINDS for c in _matches(text, PATTERNS[kind], HINTS[kind], kind)]
     found = df.select(*kept, *columns)
     found = found.select(*kept, *[_places(kind).alias(f"_{kind}_at") for kind in KINDS])
-    # fmt: off
-    return found.select(*kept, F.concat(*[
-        F.filter(f"_{kind}_at", _validity(kind)) for kind in KINDS
-    ]).alias(spans))
-    # fmt: on
+    every = F.concat(*[F.filter(f"_{kind}_at", _validity(kind)) for kind in KINDS])
+    return computed_once(found, kept, {spans: every})
 
 
 def _terms(text: Column | str) -> Column:

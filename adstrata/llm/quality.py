@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adstrata.llm.frames import column_name, without
+from adstrata.llm.frames import column_name, computed_once, without
 
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -121,7 +121,7 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
         "_places", lambda p, k: F.least(F.lit(3), F.coalesce(F.get("_places", k + 1) - p, F.lit(3)))
     )
     total = F.aggregate(covered, F.lit(0).cast("long"), lambda a, b: a + b)
-    return docs.select(*kept, *[m for m in MEASURES if m != "n_repeat_words"], total.alias("n_repeat_words"))
+    return computed_once(docs, kept, {m: F.col(m) for m in MEASURES if m != "n_repeat_words"} | {"n_repeat_words": total})
 
 
 def ledger(df: DataFrame, text: str = "text") -> DataFrame:
