@@ -1,13 +1,9 @@
 import random
 
-import public_tokenizers
 import pytest
+from paths import FOLDER
 from pyspark.sql import types as T
 
-FOLDER = "/root/testdata/sf0.001"
-WORDS = public_tokenizers.path("word_bpe_49k.json")
-BYTES = public_tokenizers.path("byte_bpe_50k.json")
-
 # Extra columns named like those that operators add or use inside.
 CLASHING = ["IDS", "n_tokens", "Packed", "spans", "Shard", "slot", "leaks", "failures", "n_words", "_text", "key", "labels"]
 

@@ -4,7 +4,7 @@ import hashlib
 import random
 
 import numpy as np
-from conftest import BYTES
+from paths import BYTES
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import BYTES, WORDS
+from paths import BYTES, WORDS
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
