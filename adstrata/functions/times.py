@@ -69,12 +69,13 @@ def pull_window(
     as_of: date, start_date: date, output_exists: bool, repull: bool = False
 ) -> tuple[datetime, datetime]:
     """Local pull window: everything since ``start_date`` on a first run or a repull,
-    otherwise yesterday only. Both end at 23:59:59 of yesterday."""
+    otherwise yesterday only. Both end with yesterday: the second time is the midnight after it,
+    which is not part of the window."""
     yesterday = as_of - timedelta(days=1)
     first_day = start_date if repull or not output_exists else yesterday
     return (
         datetime.combine(first_day, datetime.min.time()),
-        datetime.combine(yesterday, datetime.max.time().replace(microsecond=0)),
+        datetime.combine(as_of, datetime.min.time()),
     )
 
 

@@ -56,7 +56,7 @@ def touchpoint_fact(
         [F.col("touch_date").asc_nulls_last(), F.col("touchpoint_id").asc_nulls_last()],
         busy,
         sequence="touch_sequence",
-        totals={"touch_count": F.count("touchpoint_id")},
+        totals={"touch_count": F.count("touchpoint_id"), "touch_rows": F.count(F.lit(1))},
     )
     return fact.withColumns(
         {
@@ -77,8 +77,9 @@ def _age_in_days(fact: DataFrame, as_of: str) -> Column:
 def position_weight(normalised: bool) -> Column:
     """U-shaped weight of a touch. Two touches split 0.4/0.4, or 0.5/0.5 when normalised.
 
-    The weights of a deal add up to 1 for one touch, 0.8 for two and 1 for more, so the
-    normalising total follows from the touch count.
+    Touches without an id are rows like others but are not in the touch count, so the weights of a
+    deal need not add up to 1. Their total follows from the rows and the count: the first row, the
+    row at the place of the count, and all others.
     """
     count = F.col("touch_count")
     at_edge = F.col("is_first_touch") | F.col("is_last_touch")
@@ -90,7 +91,12 @@ def position_weight(normalised: bool) -> Column:
     )
     if not normalised:
         return weight
-    return F.when(count == 2, weight / F.lit(FIRST_SHARE + LAST_SHARE)).otherwise(weight)
+    rows = F.col("touch_rows")
+    last = F.when(count >= 2, 1).otherwise(0)
+    total = F.when(count == 1, rows.cast("double")).otherwise(
+        F.lit(FIRST_SHARE) + last * F.lit(LAST_SHARE) + (rows - 1 - last) * middle
+    )
+    return weight / total
 
 
 def assign_influence(fact: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +46,7 @@ class LogRequest:
 
     ``start`` and ``end`` are local times, the end is exclusive. ``ids`` filter ``level``;
     without ids all rows of the window are taken. ``expressions`` are extra SQL columns.
+    ``allowed`` names the dimensions that may be given out; without it all columns of the log may.
     """
 
     columns: Sequence[str]
@@ -57,6 +59,7 @@ class LogRequest:
     renames: str = ""
     events_only: bool = False
     privacy: PrivacyRules | None = None
+    allowed: Sequence[str] | None = None
 
 
 @dataclass(frozen=True)
@@ -84,10 +87,18 @@ class Lookups:
     byod_deals: DataFrame | None = None
 
 
-def known_columns(requested: Sequence[str], available: Sequence[str]) -> tuple[list[str], list[str]]:
-    """Requested dimensions, then requested measures; unknown names drop out silently."""
+def known_columns(
+    requested: Sequence[str], available: Sequence[str], allowed: Sequence[str] | None = None
+) -> tuple[list[str], list[str]]:
+    """Requested dimensions, then requested measures; names that are unknown or not allowed drop out.
+
+    Measures and the derived times may always be given out.
+    """
     known = [c for c in requested if c in available or c in DERIVED_TIMES]
-    return [c for c in known if c not in METRICS], [c for c in known if c in METRICS]
+    dims = [c for c in known if c not in METRICS]
+    if allowed is not None:
+        dims = [c for c in dims if c in allowed or c in DERIVED_TIMES]
+    return dims, [c for c in known if c in METRICS]
 
 
 def lowest_level(columns: Sequence[str]) -> str | None:
@@ -154,7 +165,7 @@ def selected(events: DataFrame, request: LogRequest) -> DataFrame:
 def pull(events: DataFrame, request: LogRequest) -> DataFrame:
     """Selected rows with the columns asked for."""
     rows = selected(events, request)
-    dims, mets = known_columns(request.columns, events.columns)
+    dims, mets = known_columns(request.columns, events.columns, request.allowed)
 
     def output(name: str) -> Column:
         if name in DERIVED_TIMES:
@@ -221,17 +232,31 @@ def name_map(hierarchy: Hierarchy, level: str) -> DataFrame:
     return chain.select("account_id", "account_name", *names).distinct()
 
 
-def audience_names(custom_segments: DataFrame, rt_segments: DataFrame) -> DataFrame:
-    """Segment names by identifier; retargeting segments have no numeric id."""
-    custom = custom_segments.select(
-        F.col("id").alias("auid_id"),
-        F.col("identifier").cast("string").alias("matched_cseg_and_rt"),
-        F.coalesce("display_name", "name").alias("audience"),
-    )
-    retargeting = rt_segments.select(
-        F.col("id").cast("string").alias("matched_cseg_and_rt"), F.col("name").alias("audience")
-    )
-    return custom.unionByName(retargeting, allowMissingColumns=True)
+def audience_names(
+    custom_segments: DataFrame | None, rt_segments: DataFrame | None = None
+) -> DataFrame:
+    """Segment names by identifier, from the tables that are there.
+
+    Retargeting segments have no numeric id.
+    """
+    frames = []
+    if custom_segments is not None:
+        frames.append(
+            custom_segments.select(
+                F.col("id").alias("auid_id"),
+                F.col("identifier").cast("string").alias("matched_cseg_and_rt"),
+                F.coalesce("display_name", "name").alias("audience"),
+            )
+        )
+    if rt_segments is not None:
+        frames.append(
+            rt_segments.select(
+                F.col("id").cast("string").alias("matched_cseg_and_rt"), F.col("name").alias("audience")
+            )
+        )
+    if not frames:
+        raise ValueError("a table of segments is needed")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def enrich(df: DataFrame, hierarchy: Hierarchy | None, lookups: Lookups) -> DataFrame:
@@ -243,7 +268,8 @@ def enrich(df: DataFrame, hierarchy: Hierarchy | None, lookups: Lookups) -> Data
     level = lowest_level(df.columns)
     if level is not None and hierarchy is not None:
         df = keys.left_wins_join(df, name_map(hierarchy, level), level, _NAME_KEYS[level])
-    if "matched_cseg_and_rt" in df.columns and lookups.custom_segments is not None:
+    has_segments = lookups.custom_segments is not None or lookups.rt_segments is not None
+    if "matched_cseg_and_rt" in df.columns and has_segments:
         audiences = audience_names(lookups.custom_segments, lookups.rt_segments)
         df = keys.left_wins_join(df, audiences, "matched_cseg_and_rt")
     if "dma" in df.columns and lookups.dma is not None:
@@ -262,7 +288,9 @@ def enrich(df: DataFrame, hierarchy: Hierarchy | None, lookups: Lookups) -> Data
             )
     if "deal_id" in df.columns and lookups.deals is not None:
         names = lookups.deals.select("deal_id", F.col("name").alias("deal_name"))
-        df = keys.left_wins_join(df, names, "deal_id")
+        df = keys.left_wins_join(df, names, "deal_id").withColumn(
+            "deal_id", F.coalesce(F.col("deal_id").cast("string"), F.lit(""))
+        )
         if lookups.byod_deals is not None:
             df = keys.only_known(df, "deal_id", lookups.byod_deals, "deal_id")
     return df

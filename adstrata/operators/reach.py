@@ -10,7 +10,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adstrata.functions.scalars import number_or_zero, ratio
@@ -115,13 +115,15 @@ def _at_least(thresholds: Sequence[int]) -> list[Column]:
 
 
 def _exactly(counts: Sequence[int]) -> list[Column]:
-    return [_users(F.col("imps") == n).alias(f"{n}x") for n in counts]
+    """Users of each listed count, and of all others, so that the columns add up to the reach."""
+    listed = F.coalesce(F.col("imps").isin(list(counts)), F.lit(False))
+    return [*[_users(F.col("imps") == n).alias(f"{n}x") for n in counts], _users(~listed).alias("other_x")]
 
 
 def cumulative_distribution(
     frequency: DataFrame, group: Sequence[str], thresholds: Sequence[int] = THRESHOLDS
 ) -> DataFrame:
-    """Reach and the users with at least k impressions for every threshold.
+    """Reach and the users with at least k impressions for every threshold, highest average first.
 
     The many conditions run over the histogram, which has few rows, not over the users.
     """
@@ -130,34 +132,43 @@ def cumulative_distribution(
         .groupBy(*group)
         .agg(*_base(), *_at_least(thresholds))
         .withColumn("avg_imp_per_user", ratio("impressions", "reach"))
+        .orderBy(F.desc("avg_imp_per_user"), *group)
     )
 
 
 def exact_distribution(
     frequency: DataFrame, group: Sequence[str], counts: Sequence[int]
 ) -> DataFrame:
-    """Reach and the users with exactly n impressions for the listed counts.
+    """Reach and the users with exactly n impressions for the listed counts, highest average first.
 
-    The counts are given, which keeps the columns fixed and saves the pass that finds them.
+    The counts are given, which keeps the columns fixed; ``other_x`` has the users of all other
+    counts. ``exact_counts`` has a row for every count that occurs.
     """
     return (
         _histogram(frequency, group)
         .groupBy(*group)
         .agg(*_base(), *_exactly(counts))
         .withColumn("avg_imp_per_user", ratio("impressions", "reach"))
+        .orderBy(F.desc("avg_imp_per_user"), *group)
     )
 
 
-def observed_counts(frequency: DataFrame, limit: int = 1000) -> list[int]:
-    """The impression counts that occur, for ``exact_distribution``.
-
-    Collects one small integer per distinct count; more than ``limit`` of them would make
-    no usable column list, so that is an error.
-    """
-    rows = frequency.select("imps").distinct().orderBy("imps").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct impression counts; use the histogram")
-    return [row.imps for row in rows]
+def exact_counts(frequency: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Users for every number of impressions that occurs, beside reach and average of the group."""
+    histogram = _histogram(frequency, group)
+    # One row for each group and count: far fewer than users.
+    whole = Window.partitionBy(*group)
+    return (
+        histogram.select(
+            *group,
+            "imps",
+            "users",
+            F.sum("users").over(whole).alias("reach"),
+            F.sum(F.col("imps") * F.col("users")).over(whole).alias("impressions"),
+        )
+        .withColumn("avg_imp_per_user", ratio("impressions", "reach"))
+        .orderBy(F.desc("avg_imp_per_user"), *group, "imps")
+    )
 
 
 def in_windows(df: DataFrame, time: str, windows: Sequence[LabelledWindow]) -> DataFrame:
@@ -240,9 +251,9 @@ def weekly_report(
     user: str = "uniq_imp_id",
     impression: str = "has_won",
 ) -> DataFrame:
-    """The short report per ISO week."""
-    weekly = df.withColumn("week", F.weekofyear(time))
-    keyed = ["week", *group]
+    """The short report per ISO week; a week belongs to the ISO year it is numbered in."""
+    weekly = df.withColumns({"iso_year": F.extract(F.lit("YEAROFWEEK"), F.col(time)), "week": F.weekofyear(time)})
+    keyed = ["iso_year", "week", *group]
     return campaign_report(user_frequency(weekly, keyed, user, impression), keyed, exact)
 
 

@@ -21,28 +21,25 @@ HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
 
 
-# A key with this share of all rows is busy, unless it is small in absolute terms.
-BUSY_SHARE = 1e-4
+# A key with so many rows is busy, however large the table is: no task orders more rows of one key.
 BUSY_ROWS = 1_000_000
 
 WHOLE_KEY = 0
 
 
-def busy_keys(
-    df: DataFrame, key: Sequence[str], share: float = BUSY_SHARE, min_rows: int = BUSY_ROWS
-) -> DataFrame:
-    """Keys that hold at least ``share`` of the rows and ``min_rows`` rows.
-
-    No more than ``1 / share`` keys can do so, which bounds the result.
-    """
-    total = df.agg(F.count(F.lit(1))).scalar()
+def busy_keys(df: DataFrame, key: Sequence[str], min_rows: int = BUSY_ROWS) -> DataFrame:
+    """Keys that hold at least ``min_rows`` rows: at most one for so many rows of the table."""
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where((F.col("_n") >= min_rows) & (F.col("_n") >= total * share)).drop("_n")
+    return counts.where(F.col("_n") >= min_rows).drop("_n")
 
 
 def with_bucket(df: DataFrame, key: Sequence[str], bucket: Column, busy: DataFrame) -> DataFrame:
-    """Add ``_bucket``: the given one for busy keys, a constant for the others."""
-    marked = F.broadcast(busy.select(*key, F.lit(True).alias("_busy")))
+    """Add ``_bucket``: the given one for busy keys, a constant for the others.
+
+    Busy keys are broadcast where Spark finds them small; otherwise the shuffled rows of a busy key
+    are split by adaptive execution.
+    """
+    marked = busy.select(*key, F.lit(True).alias("_busy"))
     return (
         df.join(marked, list(key), "left")
         .withColumn("_bucket", F.when(F.col("_busy"), bucket).otherwise(F.lit(WHOLE_KEY).cast("bigint")))

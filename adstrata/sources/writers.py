@@ -1,7 +1,6 @@
 """Writing reports: files, tables and the checks around them.
 
-Writers run in parallel and leave one folder of part files. Only ``single_psv_gz`` makes one
-file, and only below a row limit that it checks first.
+Writers run in parallel and leave one folder of part files.
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ from pyspark.sql import functions as F
 
 from adstrata.functions.times import time_text
 from adstrata.operators.logextract import text_columns
-from adstrata.sources.readers import single_file
 
 # File formats of a delivery and their separators.
 SEPARATORS = {"csv": ",", "psv": "|"}
@@ -46,30 +44,6 @@ def psv_gz(df: DataFrame, folder: str, prefix: str, day: date) -> str:
     return write_files(df, f"{folder.rstrip('/')}/{dated_name(prefix, day)}", "psv", compress=True)
 
 
-def single_psv_gz(
-    df: DataFrame, folder: str, prefix: str, day: date, max_rows: int = 1_000_000
-) -> str:
-    """One gzipped pipe-separated file with a dated name, for small deliveries.
-
-    One file means one task, so a report above ``max_rows`` is refused; ``psv_gz`` takes any
-    size. The count stops at the limit.
-    """
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows; deliver part files instead")
-    spark = df.sparkSession
-    target = f"{folder.rstrip('/')}/{dated_name(prefix, day)}"
-    parts = write_files(df.coalesce(1), f"{target}.parts", "psv", compress=True)
-    part = single_file(spark, parts, ".csv.gz")
-
-    path_class = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path_class(part).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(path_class(target), True)
-    if not fs.rename(path_class(part), path_class(target)):
-        raise OSError(f"could not move {part} to {target}")
-    fs.delete(path_class(parts), True)
-    return target
-
-
 def append_or_overwrite(
     df: DataFrame, table: str, mode: str = "append", sample: bool = False
 ) -> str:
@@ -119,12 +93,11 @@ def as_view(df: DataFrame, name: str) -> str:
 def event_log_by_day(events: DataFrame, path: str, time: str = "request_time") -> str:
     """Store a log partitioned by ``event_date``, the layout the readers prune on.
 
-    Rows go to writers by date and a hash of the row, so that a busy day is written by many
-    tasks and a day does not end up as one file per task.
+    Rows are dealt to writers by date. Adaptive execution splits a busy day into as many tasks
+    and files as its size asks for, and puts quiet days together.
     """
     dated = events.withColumn("event_date", F.col(time).cast("date"))
-    salt = F.pmod(F.xxhash64(*events.columns), F.lit(32))
-    dated.repartition("event_date", salt).write.mode("overwrite").partitionBy("event_date").parquet(path)
+    dated.hint("rebalance", "event_date").write.mode("overwrite").partitionBy("event_date").parquet(path)
     return path
 
 

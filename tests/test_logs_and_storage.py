@@ -1,4 +1,3 @@
-import gzip
 import os
 from datetime import date, datetime
 
@@ -130,7 +129,7 @@ def test_censoring(events, rows):
 
 def test_pull_windows():
     as_of, start = date(2024, 3, 5), date(2024, 1, 1)
-    end = datetime(2024, 3, 4, 23, 59, 59)
+    end = datetime(2024, 3, 5)  # exclusive
     assert times.pull_window(as_of, start, output_exists=False) == (datetime(2024, 1, 1), end)
     assert times.pull_window(as_of, start, output_exists=True, repull=True) == (datetime(2024, 1, 1), end)
     assert times.pull_window(as_of, start, output_exists=True) == (datetime(2024, 3, 4), end)
@@ -160,19 +159,25 @@ def test_shared_folder_comes_from_the_session(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_single_file_delivery(spark, tmp_path):
+def test_dated_delivery(spark, tmp_path):
     df = spark.createDataFrame([(2, "b"), (1, None)], "id int, v string")
-    path = writers.single_psv_gz(df, str(tmp_path), "out", date(2024, 5, 1))
-    assert path.endswith("/out_20240501.psv.gz") and os.listdir(tmp_path).count("out_20240501.psv.gz") == 1
-    with gzip.open(path, "rt") as file:
-        lines = file.read().split()
-    assert lines[0] == "id|v" and len(lines) == 3
+    path = writers.psv_gz(df, str(tmp_path), "out", date(2024, 5, 1))
+    assert path.endswith("/out_20240501.psv.gz")
+    assert spark.read.option("header", True).option("sep", "|").csv(path).count() == 2
     # Written again, it is replaced.
-    assert writers.single_psv_gz(df.limit(1), str(tmp_path), "out", date(2024, 5, 1)) == path
-    with gzip.open(path, "rt") as file:
-        assert len(file.read().split()) == 2
-    with pytest.raises(ValueError):
-        writers.single_psv_gz(df, str(tmp_path), "out", date(2024, 5, 1), max_rows=1)
+    assert writers.psv_gz(df.limit(1), str(tmp_path), "out", date(2024, 5, 1)) == path
+    assert spark.read.option("header", True).option("sep", "|").csv(path).count() == 1
+
+
+def test_files_of_a_day_follow_its_size(spark, tmp_path):
+    log = spark.range(60_000).selectExpr("timestamp_ntz'2024-05-01 10:00:00' as request_time", "id", "uuid() as u").repartition(8)
+    counts = []
+    for size in ("64m", "64k"):
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+        path = writers.event_log_by_day(log, str(tmp_path / size))
+        counts.append(sum(name.endswith(".parquet") for name in os.listdir(f"{path}/event_date=2024-05-01")))
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert counts[0] < counts[1]
 
 
 def test_exactly_one_file(spark, tmp_path):

@@ -37,9 +37,10 @@ def test_frequencies_skip_incomplete_keys(log, rows):
     frequency = reach.user_frequency(log, GROUP)
     assert rows(frequency, "cg_id", "uniq_imp_id", "imps") == [(1, "u1", 3), (1, "u2", 0), (3, "u3", 1)]
     assert rows(reach.frequency_histogram(frequency, GROUP), "cg_id", "imps", "users") == [(1, 0, 1), (1, 3, 1), (3, 1, 1)]
-    assert reach.observed_counts(frequency) == [0, 1, 3]
-    with pytest.raises(ValueError):
-        reach.observed_counts(frequency, limit=2)
+    every = reach.exact_counts(frequency, GROUP)
+    assert rows(every, "cg_id", "imps", "users", "reach", "impressions") == [(1, 0, 1, 2, 3), (1, 3, 1, 2, 3), (3, 1, 1, 1, 1)]
+    few = reach.exact_distribution(frequency, GROUP, [3])
+    assert rows(few, "cg_id", "3x", "other_x", "reach") == [(1, 1, 1, 2), (3, 0, 1, 1)]
     with pytest.raises(KeyError):
         reach.user_frequency(log, ["nope"])
 

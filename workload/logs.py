@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adstrata.functions.privacy import PrivacyRules, censor
-from adstrata.functions.times import local_trunc, time_text, to_local
+from adstrata.functions.times import local_trunc, pull_window, time_text, to_local
 from adstrata.operators import identity, keys, logextract
 from adstrata.plans import reports
 from workload.views import Inputs, check_sql
@@ -121,6 +123,50 @@ def lld_report_line_item(i: Inputs) -> DataFrame:
     return logextract.build_report(i.event_log, request, _hierarchy(i), _lookups(i))
 
 
+@query
+def lld_report_retargeting(i: Inputs) -> DataFrame:
+    """Only retargeting segments and deals are known; blank deal ids are empty text."""
+    request = _request(columns=["auction_id", "matched_cseg_and_rt", "deal_id"])
+    lookups = logextract.Lookups(rt_segments=i.rt_segments, deals=i.programmatic_deals)
+    return logextract.build_report(i.event_log, request, None, lookups)
+
+
+@query
+def lld_report_allowed(i: Inputs) -> DataFrame:
+    """Dimensions that were not released drop out of a request."""
+    request = _request(
+        columns=["auction_id", "ip_address", "request_date", "has_won", "device_type"],
+        allowed=["auction_id", "device_type"],
+    )
+    return logextract.build_report(i.event_log, request, None, logextract.Lookups())
+
+
+PULL_COLUMNS = ["auction_id", "request_time", "has_won"]
+
+
+def _pulled(i: Inputs, output_exists: bool) -> DataFrame:
+    """What a run on the tenth of January pulls; one event comes in the last second of the day."""
+    late = i.spark.range(1).select(
+        F.lit("LATE").alias("auction_id"),
+        # 23:59:59.5 on the ninth in New York
+        F.lit("2024-01-10 04:59:59.5").cast("timestamp_ntz").alias("request_time"),
+        F.lit(1).alias("has_won"),
+    )
+    log = i.event_log.select("auction_id", F.col("request_time").cast("timestamp_ntz"), "has_won").union(late)
+    start, end = pull_window(date(2024, 1, 10), date(2024, 1, 3), output_exists)
+    return logextract.pull(log, _request(columns=PULL_COLUMNS, start=start, end=end))
+
+
+@query
+def lld_pull_initial(i: Inputs) -> DataFrame:
+    return _pulled(i, output_exists=False)
+
+
+@query
+def lld_pull_daily(i: Inputs) -> DataFrame:
+    return _pulled(i, output_exists=True)
+
+
 @query
 def lld_filter(i: Inputs) -> DataFrame:
     """Delivered events of two sub-advertisers in a local week."""
@@ -336,6 +382,27 @@ CHECKS["lld_report_line_item"] = check_sql(
           on h.campaign_group_id = line_item_id where {_IN_JANUARY}""",
     chain=_CHAIN,
 )
+CHECKS["lld_report_retargeting"] = check_sql(
+    f"""select auction_id, e.matched_cseg_and_rt, coalesce(e.deal_id, '') as deal_id, r.name as audience,
+               p.name as deal_name
+        from event_log e left join rt_segments r on r.id = e.matched_cseg_and_rt
+        left join programmatic_deals p on p.deal_id = e.deal_id where {_IN_JANUARY}"""
+)
+CHECKS["lld_report_allowed"] = check_sql(
+    f"""select auction_id, cast(date_trunc('day', {_LOCAL}) as timestamp) as request_date,
+               cast(has_won as double) as has_won, device_type
+        from event_log where {_IN_JANUARY}"""
+)
+_LATE = """
+select auction_id, request_time, has_won from event_log
+union all select 'LATE', timestamp '2024-01-10 04:59:59.5', 1
+"""
+for _name, _first in (("lld_pull_initial", "2024-01-03"), ("lld_pull_daily", "2024-01-09")):
+    CHECKS[_name] = check_sql(
+        f"""select auction_id, {_LOCAL} as request_time, cast(has_won as double) as has_won from late
+            where {_LOCAL} >= timestamp '{_first}' and {_LOCAL} < timestamp '2024-01-10'""",
+        late=_LATE,
+    )
 CHECKS["lld_filter"] = check_sql(
     f"""select auction_id, sub_advertiser_id, cast(has_won as double) as has_won, cast(has_click as double) as has_click,
                cast(has_conv as double) as has_conv

@@ -63,6 +63,11 @@ def health_valid_values(i: Inputs) -> DataFrame:
     return health.valid_values(i.crm_opportunities, "opportunities", "stage_name", STAGES)
 
 
+@query
+def health_invalid_values(i: Inputs) -> DataFrame:
+    return health.invalid_values(i.crm_opportunities, "stage_name", STAGES)
+
+
 @query
 def health_revenue(i: Inputs) -> DataFrame:
     return health.revenue_reconciliation(i.crm_opportunities, i.revenue_source)
@@ -259,8 +264,8 @@ select 'freshness' as check_name, '{table}' as table_name, case when {age} <= 2
 _STAGE_LIST = ", ".join(f"'{s}'" for s in STAGES)
 _VALID_ROW = f"""
 select 'valid_values' as check_name, 'opportunities' as table_name, case when n = 0 then 'pass' else 'fail' end as status,
-       n as failed_rows, 'stage_name has invalid values: [' || coalesce(listed, '') || ']' as detail
-from (select count(*) as n, string_agg(distinct '''' || stage_name || '''', ', ' order by '''' || stage_name || '''') as listed
+       n as failed_rows, 'stage_name has ' || n || ' invalid row(s) of ' || kinds || ' value(s).' as detail
+from (select count(*) as n, count(distinct coalesce('=' || stage_name, '')) as kinds
       from crm_opportunities where stage_name is null or stage_name not in ({_STAGE_LIST}))
 """
 _MISMATCHES = """
@@ -334,6 +339,10 @@ CHECKS["health_freshness"] = check_sql(
     _fresh_row("accounts", "accounts") + " union all " + _fresh_row("opportunities", "crm_opportunities")
 )
 CHECKS["health_valid_values"] = check_sql(_VALID_ROW)
+CHECKS["health_invalid_values"] = check_sql(
+    f"""select stage_name as "value", count(*) as "rows" from crm_opportunities
+        where stage_name is null or stage_name not in ({_STAGE_LIST}) group by stage_name"""
+)
 CHECKS["health_revenue"] = check_sql(_REVENUE_ROW, mismatches=_MISMATCHES)
 CHECKS["health_mismatch_rows"] = check_sql(
     """select o.opportunity_id, account_id, coalesce(n, 1) as source_rows,

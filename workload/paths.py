@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adstrata.operators import paths
@@ -51,6 +51,29 @@ def path_running(i: Inputs) -> DataFrame:
     )
 
 
+BUSY_USER = 7
+
+
+def _busy_user(user: str, event: str) -> Column:
+    """A third of the events go to one user."""
+    kind = F.col(user)
+    return F.when(F.regexp_extract(F.col(event).cast("string"), "([0-9])$", 1).isin("0", "3", "6"), BUSY_USER).otherwise(kind)
+
+
+def _busy_list(i: Inputs) -> DataFrame:
+    return i.spark.range(1).select(F.lit(BUSY_USER).cast("bigint").alias("user_id"))
+
+
+@query
+def path_running_hot(i: Inputs) -> DataFrame:
+    """One user owns a third of the events and is cut into hours."""
+    events = i.events_k.select("user_id", "event_id", "ts", "event_type")
+    events = events.withColumn("user_id", _busy_user("user_id", "event_id"))
+    return paths.running_conversions(
+        events, "user_id", "ts", "event_id", F.col("event_type") == "purchase", busy=_busy_list(i)
+    )
+
+
 @query
 def path_velocity(i: Inputs) -> DataFrame:
     joined = i.touchpoints.join(i.opportunities.select("opportunity_id", "close_date"), "opportunity_id")
@@ -154,6 +177,19 @@ CHECKS["path_running"] = check_sql(
                   rows between unbounded preceding and current row) as bigint) as cumulative_conversions
        from events_k"""
 )
+CHECKS["path_running_hot"] = check_sql(
+    f"""select user_id, event_id, ts, event_type,
+               row_number() over (partition by user_id order by ts, event_id) as touch_order,
+               cast(sum(case when event_type = 'purchase' then 1 else 0 end) over (
+                   partition by user_id order by ts, event_id
+                   rows between unbounded preceding and current row) as bigint) as cumulative_conversions
+        from hot""",
+    hot=f"""
+select case when right(cast(event_id as varchar), 1) in ('0', '3', '6') then {BUSY_USER} else user_id end as user_id,
+       event_id, ts, event_type
+from events_k
+""",
+)
 CHECKS["path_velocity"] = check_sql(
     """select touchpoint_id, opportunity_id, days_to_conversion,
               case when days_to_conversion <= 7 then 'fast' when days_to_conversion <= 30 then 'standard'

@@ -71,6 +71,18 @@ def reach_exact(i: Inputs) -> DataFrame:
     return reach.exact_distribution(reach.user_frequency(_won(i), GROUP), GROUP, EXACT)
 
 
+@query
+def reach_exact_counts(i: Inputs) -> DataFrame:
+    """Every count that occurs, in long form."""
+    return reach.exact_counts(reach.user_frequency(_won(i), GROUP), GROUP)
+
+
+@query
+def reach_exact_few(i: Inputs) -> DataFrame:
+    """Two listed counts; the users of all others are in the last column."""
+    return reach.exact_distribution(reach.user_frequency(_won(i), GROUP), GROUP, [1, 3])
+
+
 @query
 def reach_windows(i: Inputs) -> DataFrame:
     return reach.windowed_distribution(_won(i), GROUP, "local_date", WINDOWS)
@@ -117,7 +129,9 @@ def _plus(thresholds) -> str:
 
 
 def _times(counts) -> str:
-    return ", ".join(f'count(*) filter (imps = {n}) as "{n}x"' for n in counts)
+    listed = ", ".join(map(str, counts))
+    exact = ", ".join(f'count(*) filter (imps = {n}) as "{n}x"' for n in counts)
+    return f'{exact}, count(*) filter (coalesce(imps not in ({listed}), true)) as other_x'
 
 
 _STEPS = {"log": _LOG, "won": _WON, "freq": _FREQ.format(source="won")}
@@ -139,6 +153,18 @@ CHECKS["reach_cumulative"] = check_sql(
 CHECKS["reach_exact"] = check_sql(
     f"select cg_id, cg_name, {_BASE}, {_times(EXACT)} from freq group by cg_id, cg_name", **_STEPS
 )
+CHECKS["reach_exact_few"] = check_sql(
+    f"select cg_id, cg_name, {_BASE}, {_times([1, 3])} from freq group by cg_id, cg_name", **_STEPS
+)
+CHECKS["reach_exact_counts"] = check_sql(
+    """select cg_id, cg_name, imps, count(*) as users,
+              cast(sum(count(*)) over (partition by cg_id, cg_name) as bigint) as reach,
+              cast(sum(imps * count(*)) over (partition by cg_id, cg_name) as bigint) as impressions,
+              sum(imps * count(*)) over (partition by cg_id, cg_name)
+                / sum(count(*)) over (partition by cg_id, cg_name) as avg_imp_per_user
+       from freq group by cg_id, cg_name, imps""",
+    **_STEPS,
+)
 _WINDOW_ROWS = " union all ".join(
     f"select date '{w.start}' as s, date '{w.end}' as e, '{w.label}' as label" for w in WINDOWS
 )
@@ -170,11 +196,11 @@ CHECKS["reach_report"] = check_sql(
     f"select cg_id, min(cg_name) as cg_name, {_REPORT} from freq group by cg_id", **_STEPS
 )
 CHECKS["reach_weekly"] = check_sql(
-    f"select week, cg_id, cg_name, {_REPORT} from freq group by week, cg_id, cg_name",
+    f"select iso_year, week, cg_id, cg_name, {_REPORT} from freq group by iso_year, week, cg_id, cg_name",
     log=_LOG,
     won=_WON,
     freq="""
-select cast(weekofyear(local_date) as int) as week, cg_id, cg_name, uniq_imp_id, sum(has_won) as imps
+select cast(isoyear(local_date) as int) as iso_year, cast(weekofyear(local_date) as int) as week, cg_id, cg_name, uniq_imp_id, sum(has_won) as imps
 from won where cg_name is not null group by all
 """,
 )

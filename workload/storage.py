@@ -51,7 +51,8 @@ def store_psv_gz(i: Inputs) -> DataFrame:
 
 @query
 def store_single_file(i: Inputs) -> DataFrame:
-    path = writers.single_psv_gz(i.nation, _folder(i), "nations", DAY)
+    """A small delivery under its dated name; part files, as all deliveries."""
+    path = writers.psv_gz(i.nation, _folder(i), "nations", DAY)
     schema = "n_nationkey int, n_name string, n_regionkey int"
     return readers.delimited(i.spark, path, schema, "|")
 
