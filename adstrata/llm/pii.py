@@ -13,6 +13,7 @@ wherever they stand. Everything is built-in column functions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -52,26 +53,29 @@ class Disclosure:
     broadcast_rows: int = 100_000
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often and deep inside ``use`` has it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _before(lengths: Column) -> Column:
     """Sum of the lengths before each place, in blocks so that long arrays stay quick."""
     block = 64
     total = lambda part: F.aggregate(part, F.lit(0), lambda a, b: a + b)
-    n = F.size(lengths)
-    sums = F.transform(
-        F.sequence(F.lit(0), F.floor(n / block).cast("int")), lambda j: total(F.slice(lengths, j * block + 1, block))
-    )
-    # A one-element array binds the sums of blocks, so that they are computed once.
-    return F.element_at(
-        F.transform(
-            F.array(F.transform(sums, lambda _, j: total(F.slice(sums, 1, j)))),
-            lambda bases: F.transform(
-                lengths,
-                lambda _, k: F.get(bases, F.floor(k / block).cast("int"))
-                + total(F.slice(lengths, F.floor(k / block).cast("int") * block + 1, k % block)),
-            ),
-        ),
-        1,
-    )
+    of_block = lambda k: F.floor(k / block).cast("int")
+
+    def places(held: Column, bases: Column) -> Column:
+        return F.transform(
+            held, lambda _, k: F.get(bases, of_block(k)) + total(F.slice(held, of_block(k) * block + 1, k % block))
+        )
+
+    def from_blocks(held: Column) -> Column:
+        blocks = F.sequence(F.lit(0), of_block(F.size(held)))
+        sums = F.transform(blocks, lambda j: total(F.slice(held, j * block + 1, block)))
+        bases = lambda s: F.transform(s, lambda _, j: total(F.slice(s, 1, j)))
+        return _bound(_bound(sums, bases), lambda b: places(held, b))
+
+    return _bound(lengths, from_blocks)
 
 
 def _matches(text: str, pattern: str, hint: str | None, as_named: str) -> tuple[Column, Column]:
@@ -159,30 +163,29 @@ def _contexts(text: Column, span: Column, reach: int) -> Column:
     return F.array_distinct(F.concat(last, F.slice(right, 1, reach)))
 
 
-def disclosing_terms(docs: DataFrame, settings: Disclosure) -> DataFrame:
+def _entity(span: Column) -> Column:
+    return F.concat_ws(":", span["kind"], F.lower(F.translate(span["value"], " ().-", "")))
+
+
+def disclosing_terms(plain: DataFrame, docs: DataFrame, settings: Disclosure) -> DataFrame:
     """Words that reveal an entity of ``_spans``, with what is to be done: ``term``, ``action``.
 
-    Counts are of all documents, copies included; at least ``texts`` different texts must support a
-    pair of word and entity, so that one text copied often supports nothing.
+    ``plain`` are the documents without their spans. Counts are of all documents, copies included; at
+    least ``texts`` different texts must support a pair of word and entity, so that one text copied
+    often supports nothing.
     """
-    near = (
-        docs.filter(F.size("_spans") > 0)
-        .select("_digest", "_text", F.explode("_spans").alias("span"))
-        .select(
-            "_digest",
-            F.concat_ws(":", "span.kind", F.lower(F.translate("span.value", " ().-", ""))).alias("entity"),
-            _contexts(F.col("_text"), F.col("span"), settings.reach).alias("terms"),
-        )
+    named = docs.filter(F.size("_spans") > 0).withColumn("_named", F.transform("_spans", _entity))
+    near = named.select("_digest", "_text", "_spans", "_named", F.posexplode("_named").alias("_at", "entity")).select(
+        "_digest",
+        "entity",
+        (F.array_position("_named", F.col("entity")) == F.col("_at") + 1).alias("first"),
+        _contexts(F.col("_text"), F.get("_spans", F.col("_at")), settings.reach).alias("terms"),
     )
     near = stored(near, "pii-contexts")
-    n_docs = docs.count()
-    # An entity's rows with one text are merged before the texts are counted.
+    n_docs = plain.count()
+    # Documents of each entity, counted text by text.
     occurs = stored(
-        docs.filter(F.size("_spans") > 0)
-        .select("_digest", F.explode(F.array_distinct(F.transform("_spans", lambda s: F.concat_ws(":", s["kind"], F.lower(F.translate(s["value"], " ().-", "")))))).alias("entity"))
-        .groupBy("entity", "_digest")
-        .agg(F.count("*").alias("copies")),
-        "pii-entities",
+        near.filter("first").groupBy("entity", "_digest").agg(F.count("*").alias("copies")), "pii-entities"
     )
     entities = occurs.groupBy("entity").agg(F.sum("copies").alias("c_e"))
     pairs = (
@@ -197,7 +200,7 @@ def disclosing_terms(docs: DataFrame, settings: Disclosure) -> DataFrame:
     pairs = stored(pairs, "pii-pairs")
     # Every word is counted over all documents, then looked up; the counts are one row a word.
     counts = (
-        docs.select(F.explode(F.array_distinct(_terms("_text"))).alias("term"))
+        plain.select(F.explode(F.array_distinct(_terms("_text"))).alias("term"))
         .groupBy("term")
         .agg(F.count("*").alias("c_t"))
     )
@@ -231,11 +234,11 @@ def find(df: DataFrame, text: str = "text", spans: str = "spans", settings: Disc
     kept = without(df, [spans, "_text", "_digest", "_spans", "_actions"])
     content = F.coalesce(F.col(source), F.lit(""))
     docs = df.select(*kept, *([] if source in kept else [F.col(source)]), content.alias("_text"), F.md5(content).alias("_digest"))
-    docs = base_spans(docs, "_text", "_spans")
-    flagged = stored(disclosing_terms(docs, settings), "pii-terms")
+    plain, docs = docs, base_spans(docs, "_text", "_spans")
+    flagged = stored(disclosing_terms(plain, docs, settings), "pii-terms")
     if flagged.isEmpty():
         return docs.select(*kept, _with_actions(F.col("_spans")).alias(spans))
-    words = docs.select("_digest", F.explode(F.array_distinct(_terms("_text"))).alias("term"))
+    words = plain.select("_digest", F.explode(F.array_distinct(_terms("_text"))).alias("term"))
     hits = words.join(_bounded(flagged, settings.broadcast_rows), "term").distinct()
     # At most as many words as the text has.
     hits = hits.groupBy("_digest").agg(F.collect_list(F.struct("term", "action")).alias("_actions"))
