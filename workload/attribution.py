@@ -95,6 +95,25 @@ def attr_influence(i: Inputs) -> DataFrame:
     return _rounded(influence, "even_touch_influence", "position_weight", "weighted_influence")
 
 
+@query
+def attr_influence_unnamed(i: Inputs) -> DataFrame:
+    """Some touches have no id; the credit of a deal still adds up to its value."""
+    deals, touches = _cleaned(i)
+    nameless = F.regexp_extract("touchpoint_id", "([0-9])$", 1).isin("1", "5")
+    touches = touches.withColumn("touchpoint_id", F.when(~nameless, F.col("touchpoint_id")))
+    fact = attribution.touchpoint_fact(deals, touches, as_of=ORDERS_AS_OF)
+    return (
+        attribution.assign_influence(fact)
+        .groupBy("opportunity_id")
+        .agg(
+            F.count(F.lit(1)).alias("touch_rows"),
+            F.round(F.max("position_weight"), 6).alias("largest_weight"),
+            F.round(F.sum("weighted_influence"), 2).alias("credited"),
+            F.round(F.max(F.col("amount").cast("double")), 2).alias("amount"),
+        )
+    )
+
+
 @query
 def attr_summary(i: Inputs) -> DataFrame:
     return reports.attribution_report(i.opportunities, i.touchpoints, ORDERS_AS_OF).summary
@@ -161,7 +180,8 @@ _FACT = """
 select touchpoint_id, opportunity_id, account_id, campaign_id, campaign_type, channel, touch_date,
        created_at, close_date, stage_name, cast(amount as double) as amount,
        row_number() over (partition by opportunity_id order by touch_date nulls last, touchpoint_id) as touch_sequence,
-       count(*) over (partition by opportunity_id) as touch_count
+       count(touchpoint_id) over (partition by opportunity_id) as touch_count,
+       count(*) over (partition by opportunity_id) as touch_rows
 from fact_rows where copy = 1
 """
 
@@ -173,7 +193,7 @@ from fact
 
 _WEIGHTED = """
 select *, case when touch_count = 1 then 1.0 when is_first_touch or is_last_touch then 0.4
-               else 0.2 / (touch_count - 2) end as raw_weight
+               else 0.2 / greatest(touch_count - 2, 1) end as raw_weight
 from positioned
 """
 
@@ -246,6 +266,19 @@ CHECKS["attr_issue_counts"] = check_sql(
     clean_touches=_TOUCHES,
     flagged=_FLAGGED,
 )
+CHECKS["attr_influence_unnamed"] = check_sql(
+    """select opportunity_id, count(*) as touch_rows, round(max(position_weight), 6) as largest_weight,
+              round(sum(amount * position_weight), 2) as credited, round(max(amount), 2) as amount
+       from influence group by opportunity_id""",
+    **{
+        **_FACT_STEPS,
+        "clean_touches": _TOUCHES.replace(
+            "select touchpoint_id,",
+            "select case when right(touchpoint_id, 1) not in ('1', '5') then touchpoint_id end as touchpoint_id,",
+        ),
+        "influence": _INFLUENCE,
+    },
+)
 CHECKS["attr_orphans"] = check_sql(
     """select touchpoint_id, opportunity_id, account_id from touchpoints
        where opportunity_id not in (select opportunity_id from opportunities)"""
