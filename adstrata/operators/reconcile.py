@@ -40,14 +40,16 @@ def cluster_log(frames: Mapping[str, DataFrame]) -> DataFrame:
     return tagged_union(frames, "cluster")
 
 
+def _within_day(df: DataFrame, time: str, day: date) -> DataFrame:
+    """Rows of one UTC day, as a range of the stored column, which reaches the scan."""
+    start = F.lit(day).cast("timestamp_ntz")
+    return df.where((F.col(time) >= start) & (F.col(time) < start + F.expr("INTERVAL 1 DAY")))
+
+
 def log_totals(log: DataFrame, day: date | None = None) -> DataFrame:
     """Totals per date, cluster and advertiser. ``day`` restricts the scan to one UTC day."""
     if day is not None:
-        start = F.lit(day).cast("timestamp_ntz")
-        log = log.where(
-            (F.col("request_time") >= start)
-            & (F.col("request_time") < start + F.expr("INTERVAL 1 DAY"))
-        )
+        log = _within_day(log, "request_time", day)
     dated = log.withColumn("date", F.col("request_time").cast("date"))
     return dated.groupBy("date", "cluster", "advertiser_id").agg(
         _micros_total("cost").alias("rs_cost"),
@@ -65,9 +67,9 @@ def stats_totals(stats: DataFrame, day: date | None = None) -> DataFrame:
     Conversions reported through SKAN are missing in the logs, so they are taken off the
     conversion counts, down to 0.
     """
-    dated = stats.withColumn("date", F.col("cached_hour").cast("date"))
     if day is not None:
-        dated = dated.where(F.col("date") == F.lit(day))
+        stats = _within_day(stats, "cached_hour", day)
+    dated = stats.withColumn("date", F.col("cached_hour").cast("date"))
     totals = dated.groupBy("date", F.col("user_id").alias("advertiser_id")).agg(
         _micros_total("cost").alias("stats_cost"),
         *[

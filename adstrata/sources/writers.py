@@ -45,11 +45,15 @@ def psv_gz(df: DataFrame, folder: str, prefix: str, day: date) -> str:
 
 
 def append_or_overwrite(
-    df: DataFrame, table: str, mode: str = "append", sample: bool = False
+    df: DataFrame, table: str, mode: str = "append", sample: bool = False, path: str | None = None
 ) -> str:
-    """Report table with text times. Samples always replace the table."""
+    """Report table with text times. Samples always replace the table.
+
+    Without ``path`` its files lie in the session's warehouse.
+    """
     replace = sample or (mode or "").lower() == "overwrite"
-    time_text(df).write.mode("overwrite" if replace else "append").saveAsTable(table)
+    writer = time_text(df).write.mode("overwrite" if replace else "append")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
     return table
 
 
@@ -80,8 +84,9 @@ def audit_by_date(df: DataFrame, path: str, date_column: str = "date") -> str:
     return path
 
 
-def as_table(df: DataFrame, name: str) -> str:
-    df.write.mode("overwrite").saveAsTable(name)
+def as_table(df: DataFrame, name: str, path: str | None = None) -> str:
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     return name
 
 

@@ -145,6 +145,27 @@ def store_latest_snapshot(i: Inputs) -> DataFrame:
     return readers.latest_snapshot(i.spark, path)
 
 
+@query
+def store_report_table(i: Inputs) -> DataFrame:
+    """A report table that is replaced once and then appended to, with text times."""
+    path = _folder(i)
+    name = f"report_{uuid.uuid4().hex}"
+    half = F.col("advertiser_id") % 2 == 0
+    writers.append_or_overwrite(_log(i), name, mode="overwrite", path=path)
+    writers.append_or_overwrite(_log(i).where(half), name, mode="overwrite", path=path)
+    writers.append_or_overwrite(_log(i).where(~half), name, path=path)
+    return i.spark.table(name)
+
+
+@query
+def store_model_table(i: Inputs) -> DataFrame:
+    """A table and a view of the same rows."""
+    name = f"model_{uuid.uuid4().hex}"
+    writers.as_table(_log(i), name, path=_folder(i))
+    view = writers.as_view(_log(i), f"{name}_view")
+    return i.spark.table(name).join(i.spark.table(view).select("auction_id"), "auction_id", "left_semi")
+
+
 @query
 def store_verify(i: Inputs) -> DataFrame:
     path = writers.write_files(i.opportunities, _folder(i), "parquet")
@@ -197,6 +218,11 @@ CHECKS["store_latest_snapshot"] = check_sql(
           and hour(request_time) // 8 = (select max(hour(request_time)) // 8 from event_log
                                          where cast(request_time as date) = (select max(cast(request_time as date)) from event_log))"""
 )
+CHECKS["store_report_table"] = check_sql(
+    """select auction_id, strftime(request_time, '%Y-%m-%d %H:%M:%S') as request_time, advertiser_id, cost
+       from event_log"""
+)
+CHECKS["store_model_table"] = check_sql(f"select {_LOG} from event_log")
 CHECKS["store_single_file"] = "select n_nationkey, n_name, n_regionkey from nation"
 CHECKS["store_verify"] = check_sql(
     """select count(*) as rows_written, count(*) as rows_found, true as is_complete from opportunities"""
