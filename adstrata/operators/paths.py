@@ -227,13 +227,14 @@ def conversion_paths(
     campaigns: DataFrame,
     lookback_days: int = 60,
     updated_at: datetime | None = None,
+    busy: DataFrame | None = None,
 ) -> DataFrame:
     """The path model from raw events and campaigns.
 
-    ``updated_at`` adds the run time as a column.
+    ``updated_at`` adds the run time as a column. ``busy`` users are found by counting if not given.
     """
     cleaned = clean_events(events)
-    rollup = path_rollup(cleaned, dedup_conversions(cleaned), lookback_days)
+    rollup = path_rollup(cleaned, dedup_conversions(cleaned), lookback_days, busy=busy)
     paths = with_campaign(classify_paths(rollup), clean_campaigns(campaigns))
     if updated_at is None:
         return paths

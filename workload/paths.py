@@ -37,6 +37,16 @@ def path_conversion_10d(i: Inputs) -> DataFrame:
     return _typed(paths.conversion_paths(i.stg_marketing_events, i.dim_campaigns, lookback_days=10))
 
 
+@query
+def path_conversion_hot(i: Inputs) -> DataFrame:
+    """One user owns a third of the events and is cut into hours."""
+    busy = i.spark.range(1).select(F.lit("BUSY").alias("anonymous_user_id"))
+    third = F.regexp_extract(F.col("event_id").cast("string"), "([0-9])$", 1).isin("0", "3", "6")
+    user = F.when(third, "BUSY").otherwise(F.col("anonymous_user_id"))
+    events = i.stg_marketing_events.withColumn("anonymous_user_id", user)
+    return _typed(paths.conversion_paths(events, i.dim_campaigns, lookback_days=10, busy=busy))
+
+
 @query
 def path_latest_row(i: Inputs) -> DataFrame:
     events = i.stg_marketing_events.select("anonymous_user_id", "campaign_id", "event_id", "created_at")
@@ -164,6 +174,15 @@ CHECKS["path_dedup"] = check_sql(
 )
 CHECKS["path_conversion"] = check_sql("select * from paths", **path_steps(60))
 CHECKS["path_conversion_10d"] = check_sql("select * from paths", **path_steps(10))
+CHECKS["path_conversion_hot"] = check_sql(
+    "select * from paths",
+    hot_events="""
+select * replace (case when right(cast(event_id as varchar), 1) in ('0', '3', '6') then 'BUSY'
+                       else anonymous_user_id end as anonymous_user_id)
+from stg_marketing_events
+""",
+    **{**path_steps(10), "clean_events": CLEAN_EVENTS.replace("stg_marketing_events", "hot_events")},
+)
 CHECKS["path_latest_row"] = check_sql(
     """select anonymous_user_id, campaign_id, event_id, created_at from stg_marketing_events
        qualify row_number() over (partition by anonymous_user_id, campaign_id
