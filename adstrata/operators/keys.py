@@ -13,7 +13,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from adstrata.functions.scalars import ColumnLike, as_column
 
@@ -109,21 +108,25 @@ def spread_null_key(column: ColumnLike, spread_by: ColumnLike, buckets: int = 10
 
 
 def left_wins_join(
-    df: DataFrame, lookup: DataFrame, left_key: str, right_key: str | None = None
+    df: DataFrame,
+    lookup: DataFrame,
+    left_key: str,
+    right_key: str | None = None,
+    spread_by: str | None = None,
 ) -> DataFrame:
     """Left join on the text form of a key; columns both sides have come from the left.
 
-    The lookup keeps its key column when that has another name. Rows without a key match nothing
-    and are spread by a digest of the row, so that a shuffled join does not gather them in one task.
+    The lookup keeps its key column when that has another name. Rows without a key match nothing;
+    with ``spread_by``, a column that differs among them, a shuffled join does not gather them in
+    one task.
     """
     right_key = right_key or left_key
     key = "_lookup_key"
     extra = [name for name in lookup.columns if name not in df.columns]
     side = lookup.select(F.col(right_key).cast("string").alias(key), *extra)
-    simple = [
-        f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
-    own = spread_null_key(F.col(left_key).cast("string"), F.struct(*simple))
+    own = F.col(left_key).cast("string")
+    if spread_by is not None:
+        own = spread_null_key(own, spread_by)
     return df.join(side, own == F.col(key), "left").drop(key)
 
 

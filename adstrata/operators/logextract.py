@@ -263,32 +263,33 @@ def enrich(df: DataFrame, hierarchy: Hierarchy | None, lookups: Lookups) -> Data
     """Add names for the columns that are there; on a name clash the log column stays.
 
     All lookups are left joins without a forced strategy: small tables are broadcast by their
-    size, larger ones are shuffled.
+    size, larger ones are shuffled, rows without a key spread by their auction.
     """
+    spread_by = "auction_id" if "auction_id" in df.columns else None
     level = lowest_level(df.columns)
     if level is not None and hierarchy is not None:
-        df = keys.left_wins_join(df, name_map(hierarchy, level), level, _NAME_KEYS[level])
+        df = keys.left_wins_join(df, name_map(hierarchy, level), level, _NAME_KEYS[level], spread_by)
     has_segments = lookups.custom_segments is not None or lookups.rt_segments is not None
     if "matched_cseg_and_rt" in df.columns and has_segments:
         audiences = audience_names(lookups.custom_segments, lookups.rt_segments)
-        df = keys.left_wins_join(df, audiences, "matched_cseg_and_rt")
+        df = keys.left_wins_join(df, audiences, "matched_cseg_and_rt", spread_by=spread_by)
     if "dma" in df.columns and lookups.dma is not None:
         names = lookups.dma.select(
             F.col("DMA_Adjust").alias("dma"), F.col("DMA_Name").alias("dma_name")
         ).distinct()
-        df = keys.left_wins_join(df, names, "dma").withColumn("dma", F.col("dma").cast("string"))
+        df = keys.left_wins_join(df, names, "dma", spread_by=spread_by).withColumn("dma", F.col("dma").cast("string"))
     for column, table, source, name in (
         ("conv_tracker_id", lookups.trackers, "name", "conversion_name"),
         ("network_id", lookups.networks, "company_name", "network_name"),
     ):
         if column in df.columns and table is not None:
             names = table.select(F.col("id").alias(column), F.col(source).alias(name))
-            df = keys.left_wins_join(df, names, column).withColumn(
+            df = keys.left_wins_join(df, names, column, spread_by=spread_by).withColumn(
                 column, F.col(column).cast("string")
             )
     if "deal_id" in df.columns and lookups.deals is not None:
         names = lookups.deals.select("deal_id", F.col("name").alias("deal_name"))
-        df = keys.left_wins_join(df, names, "deal_id").withColumn(
+        df = keys.left_wins_join(df, names, "deal_id", spread_by=spread_by).withColumn(
             "deal_id", F.coalesce(F.col("deal_id").cast("string"), F.lit(""))
         )
         if lookups.byod_deals is not None:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adstrata.operators import paths
+from adstrata.operators.timeline import busy_keys
 from workload.views import Inputs, check_sql
 
 QUERIES = {}
@@ -40,10 +41,9 @@ def path_conversion_10d(i: Inputs) -> DataFrame:
 @query
 def path_conversion_hot(i: Inputs) -> DataFrame:
     """One user owns a third of the events and is cut into hours."""
-    busy = i.spark.range(1).select(F.lit("BUSY").alias("anonymous_user_id"))
-    third = F.regexp_extract(F.col("event_id").cast("string"), "([0-9])$", 1).isin("0", "3", "6")
-    user = F.when(third, "BUSY").otherwise(F.col("anonymous_user_id"))
+    user = F.when(_third("event_id"), "BUSY").otherwise(F.col("anonymous_user_id"))
     events = i.stg_marketing_events.withColumn("anonymous_user_id", user)
+    busy = busy_keys(events.select("anonymous_user_id"), ["anonymous_user_id"], min_rows=BUSY_ROWS)
     return _typed(paths.conversion_paths(events, i.dim_campaigns, lookback_days=10, busy=busy))
 
 
@@ -61,26 +61,24 @@ def path_running(i: Inputs) -> DataFrame:
     )
 
 
+# The user that gets a third of the events, and the rows from which users are cut in these queries.
 BUSY_USER = 7
+BUSY_ROWS = 100
 
 
-def _busy_user(user: str, event: str) -> Column:
-    """A third of the events go to one user."""
-    kind = F.col(user)
-    return F.when(F.regexp_extract(F.col(event).cast("string"), "([0-9])$", 1).isin("0", "3", "6"), BUSY_USER).otherwise(kind)
-
-
-def _busy_list(i: Inputs) -> DataFrame:
-    return i.spark.range(1).select(F.lit(BUSY_USER).cast("bigint").alias("user_id"))
+def _third(event: str) -> Column:
+    return F.regexp_extract(F.col(event).cast("string"), "([0-9])$", 1).isin("0", "3", "6")
 
 
 @query
 def path_running_hot(i: Inputs) -> DataFrame:
     """One user owns a third of the events and is cut into hours."""
     events = i.events_k.select("user_id", "event_id", "ts", "event_type")
-    events = events.withColumn("user_id", _busy_user("user_id", "event_id"))
+    user = F.when(_third("event_id"), BUSY_USER).otherwise(F.col("user_id"))
+    events = events.withColumn("user_id", user)
+    busy = busy_keys(events.select("user_id"), ["user_id"], min_rows=BUSY_ROWS)
     return paths.running_conversions(
-        events, "user_id", "ts", "event_id", F.col("event_type") == "purchase", busy=_busy_list(i)
+        events, "user_id", "ts", "event_id", F.col("event_type") == "purchase", busy=busy
     )
 
 
