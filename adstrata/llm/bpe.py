@@ -169,6 +169,45 @@ def worker_encoder(shared: dict, of_fresh: Callable | None = None) -> Encoder:
     return shared["encoder"]
 
 
+class Decoder:
+    """Turns ids back into text."""
+
+    def __init__(self, tokens: list[str | None], byte_decoder: bool):
+        self.tokens = np.array([*tokens, None], object)
+        self.as_bytes = {c: b for b, c in enumerate(vocab.byte_characters())} if byte_decoder else None
+
+    def text(self, ids: np.ndarray) -> str:
+        known = (ids >= 0) & (ids < len(self.tokens) - 1)
+        parts = self.tokens[ids if known.all() else ids[known]].tolist()
+        if None in parts:
+            parts = [p for p in parts if p is not None]
+        if self.as_bytes is None:
+            return " ".join(parts)
+        return bytes(self.as_bytes[c] for c in "".join(parts)).decode("utf-8", "replace")
+
+
+def _tables(path: str) -> dict:
+    tables = vocab.load(path)
+    if "Replace" not in tables["normal"]:
+        raise ValueError(f"{path} keeps white space; its words cannot be cut there")
+    return tables
+
+
+def _columns(flat: np.ndarray, totals: np.ndarray, packed: bool) -> list[pa.Array]:
+    """Ids as lists, and packed if asked for."""
+    ends, flat = offsets(totals), flat.astype("<i4")
+    made = [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+    if packed:
+        buffers = [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(flat)]
+        made.append(pa.Array.from_buffers(pa.binary(), len(totals), buffers))
+    return made
+
+
+def _fields(ids: str, packed: str | None) -> list[T.StructField]:
+    fields = [T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)]
+    return fields + ([T.StructField(packed, T.BinaryType(), False)] if packed else [])
+
+
 def encode(
     df: DataFrame, path: str, text: str = "text", ids: str = "ids", packed: str | None = None
 ) -> DataFrame:
@@ -180,29 +219,13 @@ def encode(
     they are, repeated ones too; columns named like the new ones are replaced. The tables of the
     file are broadcast; their size is that of the vocabulary.
     """
-    tables = vocab.load(path)
-    if not any(s == "Replace" for s in tables["normal"]):
-        raise ValueError(f"{path} keeps white space; its words cannot be cut there")
-    shared = df.sparkSession.sparkContext.broadcast(tables)
-    fields = [T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)]
-    if packed:
-        fields.append(T.StructField(packed, T.BinaryType(), False))
+    shared = df.sparkSession.sparkContext.broadcast(_tables(path))
 
     def start():
         encoder = worker_encoder(shared.value)
+        return lambda column: _columns(*encoder.encode(raw_texts(column)), bool(packed))
 
-        def work(column: pa.Array) -> list[pa.Array]:
-            flat, totals = encoder.encode(raw_texts(column))
-            ends, flat = offsets(totals), flat.astype("<i4")
-            made = [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
-            if packed:
-                buffers = [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(flat)]
-                made.append(pa.Array.from_buffers(pa.binary(), len(totals), buffers))
-            return made
-
-        return work
-
-    return append_columns(df, [text], fields, start)
+    return append_columns(df, [text], _fields(ids, packed), start)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -213,30 +236,38 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     the new one are replaced.
     """
     tables = vocab.load(path)
-    shared = df.sparkSession.sparkContext.broadcast(
-        {"tokens": tables["tokens"], "byte_decoder": tables["byte_decoder"]}
-    )
+    shared = df.sparkSession.sparkContext.broadcast((tables["tokens"], tables["byte_decoder"]))
 
     def start():
-        tokens = np.array([*shared.value["tokens"], None], object)
-        as_bytes = {c: b for b, c in enumerate(vocab.byte_characters())}
-        joint = "" if shared.value["byte_decoder"] else " "
+        decoder = Decoder(*shared.value)
 
         def work(column: pa.Array) -> list[pa.Array]:
-            texts = []
-            for row in range(len(column)):
-                values = column[row].values
-                found = np.empty(0, np.int64) if values is None else np.asarray(values.drop_null())
-                known = (found >= 0) & (found < len(tokens) - 1)
-                parts = tokens[found if known.all() else found[known]].tolist()
-                if None in parts:
-                    parts = [p for p in parts if p is not None]
-                joined = joint.join(parts)
-                if shared.value["byte_decoder"]:
-                    joined = bytes(as_bytes[c] for c in joined).decode("utf-8", "replace")
-                texts.append(joined)
-            return [pa.array(texts, pa.string())]
+            lists = [column[row].values for row in range(len(column))]
+            none = np.empty(0, np.int64)
+            return [pa.array([decoder.text(none if x is None else np.asarray(x.drop_null())) for x in lists], pa.string())]
 
         return work
 
     return append_columns(df, [ids], [T.StructField(text, T.StringType(), False)], start)
+
+
+def round_trip(
+    df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", packed: str | None = None
+) -> DataFrame:
+    """``encode`` and ``decode`` in one pass, by one worker instead of two for each task."""
+    shared = df.sparkSession.sparkContext.broadcast(_tables(path))
+
+    def start():
+        encoder = worker_encoder(shared.value)
+        decoder = Decoder(shared.value["tokens"], shared.value["byte_decoder"])
+
+        def work(column: pa.Array) -> list[pa.Array]:
+            flat, totals = encoder.encode(raw_texts(column))
+            ends = offsets(totals)
+            texts = [decoder.text(flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+            return [*_columns(flat, totals, bool(packed)), pa.array(texts, pa.string())]
+
+        return work
+
+    fields = [*_fields(ids, packed), T.StructField(decoded, T.StringType(), False)]
+    return append_columns(df, [text], fields, start)

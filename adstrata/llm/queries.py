@@ -18,8 +18,7 @@ TOKEN_LIMIT = 1024
 def op1_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document and the text they decode to, as digests."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, WORDS, packed="packed").drop("text")
-    return bpe.decode(encoded, WORDS).select(
+    return bpe.round_trip(docs, WORDS, packed="packed").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2("packed", 256).alias("ids_sha256"),
@@ -158,6 +157,37 @@ def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
+OP9_SQL = """
+with recursive words as (
+  select row_number() over () as r, doc_id,
+    list_filter(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x20\x09-\x0D]+'), lambda w: w <> '') as w
+  from documents
+),
+shingles as (
+  select distinct r, array_to_string(w[i : i + 4], ' ') as s
+  from words, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as t(i) where len(w) > 0
+),
+sizes as (select r, count(*) as n from shingles group by r),
+pairs as (
+  select a.r as x, b.r as y, count(*) as c from shingles a join shingles b on a.s = b.s and a.r < b.r group by all
+),
+links as (
+  select x, y from pairs join sizes a on a.r = x join sizes b on b.r = y where 100 * c >= 75 * (a.n + b.n - c)
+),
+both_ways as (select x, y from links union all select y, x from links),
+reached as (
+  select r, r as t from words
+  union
+  select reached.r, y from reached join both_ways on x = t
+)
+select d.doc_id, cast(coalesce(any_value(n), 0) as bigint) as n_shingles, min(o.doc_id) as component_id
+from reached join words d on d.r = reached.r join words o on o.r = t left join sizes on sizes.r = d.r
+group by d.r, d.doc_id
+"""
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document under the byte-level vocabulary."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -181,4 +211,4 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_counts": op10_token_counts,
 }
-CHECKS = {"op4_quality": OP4_SQL}
+CHECKS = {"op4_quality": OP4_SQL, "op9_jaccard_join": OP9_SQL}

@@ -35,6 +35,10 @@ def test_round_trip(nasty, words):
         assert row.ids == expected
         assert bytes(row.packed) == packed(expected)
         assert row.decoded == words.decode(expected, skip_special_tokens=False)
+    in_one = bpe.round_trip(nasty, WORDS, packed="packed")
+    assert in_one.columns == [*[c for c in found.columns if c not in ("ids", "packed", "decoded")], "ids", "packed", "decoded"]
+    by_all = lambda df: sorted(map(str, df.select(*in_one.columns).collect()))
+    assert by_all(in_one) == by_all(found)
 
 
 def test_every_code_point_is_cut_as_the_library_does(words):
