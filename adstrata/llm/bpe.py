@@ -100,7 +100,7 @@ class Encoder:
         for k, chunk in enumerate(fresh):
             text = chunk.decode("utf-8", "replace")
             before = len(words)
-            parts = self.special.split(text) if self.special and "<" in text else [text]
+            parts = self.special.split(text) if self.special else [text]
             for part in parts:
                 if part in special:
                     fixed[len(words)] = special[part]

@@ -157,7 +157,7 @@ class Counter:
             parts, owner = [], []
             for k in range(a, b):
                 sections = [texts[k] or ""]
-                if self.special and "<|" in sections[0]:
+                if any(token in sections[0] for token in self.tables["special"]):
                     sections = self.special.split(sections[0])
                 totals[k] += len(sections) - 1
                 parts += sections
