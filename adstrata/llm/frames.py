@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -68,6 +69,7 @@ def append_columns(
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(n_kept)] + list(made), names=names
             )
+        give_back()
 
     return needed.mapInArrow(run, schema)
 
@@ -81,6 +83,15 @@ def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(a, step)
 
 
+def give_back() -> None:
+    """Return free memory to the system: a worker that waits for its next task should hold little."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def raw_texts(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column."""
     return column.cast(pa.binary()).to_pylist()
