@@ -8,11 +8,14 @@ own information is
     disclosure = ln(N c(e,t) / (c(e) c(t))) / ln(N / c(e)) = 1 + ln(c(e,t) / c(t)) / ln(N / c(e))
 
 so 1 means that whoever reads t knows e. Words above the thresholds are removed or generalised
-wherever they stand. Everything is built-in column functions.
+wherever they stand, unless chance explains them: of texts that hold e with probability p, a share x
+among n does so at most with probability exp(-n D(x, p)), D being the relative entropy (Chernoff).
+A rare entity thus needs few texts, a common one more. Everything is built-in column functions.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -43,10 +46,10 @@ TERM_PATTERN = r"\p{L}{4,}+"
 
 @dataclass(frozen=True)
 class Disclosure:
-    """Words within ``reach`` words of an entity in at least ``texts`` different texts are judged."""
+    """Words within ``reach`` words of an entity count if ``chance`` explains them no better than that."""
 
     reach: int = 5
-    texts: int = 3
+    chance: float = 0.01
     generalise: float = 0.85
     remove: float = 0.95
     # Up to so many flagged words, or documents' words, are broadcast; beyond that they are shuffled.
@@ -167,12 +170,17 @@ def _entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"], F.lower(F.translate(span["value"], " ().-", "")))
 
 
+def _evidence(share: Column, by_chance: Column) -> Column:
+    """Negative logarithm of how likely chance brings ``texts`` of a word's texts, this share, near an entity."""
+    others = F.when(share < 1, (1 - share) / share * F.log((1 - share) / (1 - by_chance))).otherwise(0.0)
+    return F.when(share > by_chance, F.col("texts") * (F.log(share / by_chance) + others)).otherwise(0.0)
+
+
 def disclosing_terms(plain: DataFrame, docs: DataFrame, settings: Disclosure) -> DataFrame:
     """Words that reveal an entity of ``_spans``, with what is to be done: ``term``, ``action``.
 
-    ``plain`` are the documents without their spans. Counts are of all documents, copies included; at
-    least ``texts`` different texts must support a pair of word and entity, so that one text copied
-    often supports nothing.
+    ``plain`` are the documents without their spans. Counts are of all documents, copies included;
+    the evidence for a pair of word and entity is of different texts, so that copies add nothing to it.
     """
     named = docs.filter(F.size("_spans") > 0).withColumn("_named", F.transform("_spans", _entity))
     near = named.select("_digest", "_text", "_spans", "_named", F.posexplode("_named").alias("_at", "entity")).select(
@@ -182,12 +190,13 @@ def disclosing_terms(plain: DataFrame, docs: DataFrame, settings: Disclosure) ->
         _contexts(F.col("_text"), F.get("_spans", F.col("_at")), settings.reach).alias("terms"),
     )
     near = stored(near, "pii-contexts")
-    n_docs = plain.count()
+    all_texts = plain.groupBy("_digest").agg(F.count("*").alias("copies"))
+    n_docs, n_texts = all_texts.agg(F.coalesce(F.sum("copies"), F.lit(0)), F.count("*")).first()
     # Documents of each entity, counted text by text.
     occurs = stored(
         near.filter("first").groupBy("entity", "_digest").agg(F.count("*").alias("copies")), "pii-entities"
     )
-    entities = occurs.groupBy("entity").agg(F.sum("copies").alias("c_e"))
+    entities = occurs.groupBy("entity").agg(F.sum("copies").alias("c_e"), F.count("*").alias("texts_e"))
     pairs = (
         near.select("entity", "_digest", F.explode("terms").alias("term"))
         .groupBy("entity", "term", "_digest")
@@ -195,7 +204,8 @@ def disclosing_terms(plain: DataFrame, docs: DataFrame, settings: Disclosure) ->
         .join(occurs, ["entity", "_digest"])
         .groupBy("entity", "term")
         .agg(F.sum("copies").alias("c_et"), F.count("*").alias("texts"))
-        .filter(F.col("texts") >= settings.texts)
+        .join(entities, "entity")
+        .filter(F.col("c_e") < n_docs)
     )
     pairs = stored(pairs, "pii-pairs")
     # Every word is counted over all documents, then looked up; the counts are one row a word.
@@ -204,17 +214,18 @@ def disclosing_terms(plain: DataFrame, docs: DataFrame, settings: Disclosure) ->
         .groupBy("term")
         .agg(F.count("*").alias("c_t"))
     )
+    counts = stored(counts.join(pairs.select("term").distinct(), "term"), "pii-counts")
+    share = F.col("c_et") / F.col("c_t")
     judged = (
-        counts.join(pairs.select("term").distinct(), "term")
-        .join(pairs, "term")
-        .join(entities, "entity")
-        .filter(F.col("c_e") < n_docs)
-        .withColumn("disclosure", 1 + F.log(F.col("c_et") / F.col("c_t")) / F.log(F.lit(n_docs) / F.col("c_e")))
+        counts.join(pairs, "term")
+        .withColumn("disclosure", 1 + F.log(share) / F.log(F.lit(n_docs) / F.col("c_e")))
+        .filter(F.col("disclosure") >= settings.generalise)
+        .filter(_evidence(share, F.col("texts_e") / F.lit(n_texts)) >= -math.log(settings.chance))
         .groupBy("term")
         .agg(F.max("disclosure").alias("disclosure"))
     )
     action = F.when(F.col("disclosure") >= settings.remove, "remove").otherwise("generalise")
-    return judged.filter(F.col("disclosure") >= settings.generalise).select("term", action.alias("action"))
+    return judged.select("term", action.alias("action"))
 
 
 def _bounded(df: DataFrame, rows: int) -> DataFrame:
@@ -231,7 +242,7 @@ def find(df: DataFrame, text: str = "text", spans: str = "spans", settings: Disc
     """
     settings = settings or Disclosure()
     source = column_name(df, text)
-    kept = without(df, [spans, "_text", "_digest", "_spans", "_actions"])
+    kept = without(df, [spans, "_text", "_digest", "_spans", "_flagged", "_actions"])
     content = F.coalesce(F.col(source), F.lit(""))
     docs = df.select(*kept, *([] if source in kept else [F.col(source)]), content.alias("_text"), F.md5(content).alias("_digest"))
     plain, docs = docs, base_spans(docs, "_text", "_spans")
@@ -241,10 +252,11 @@ def find(df: DataFrame, text: str = "text", spans: str = "spans", settings: Disc
     words = plain.select("_digest", F.explode(F.array_distinct(_terms("_text"))).alias("term"))
     hits = words.join(_bounded(flagged, settings.broadcast_rows), "term").distinct()
     # At most as many words as the text has.
-    hits = hits.groupBy("_digest").agg(F.collect_list(F.struct("term", "action")).alias("_actions"))
+    hits = hits.groupBy("_digest").agg(F.collect_list(F.struct("term", "action")).alias("_hits"))
+    hits = hits.select("_digest", F.col("_hits.term").alias("_flagged"), F.col("_hits.action").alias("_actions"))
     hits = stored(hits, "pii-hits")
     held = docs.join(_bounded(hits, settings.broadcast_rows), "_digest", "left")
-    names = [*kept, "_spans", "_actions"]
+    names = [*kept, "_spans", "_flagged", "_actions"]
     found = held.select(*names, *_matches_where("_text", F.col("_actions").isNotNull()))
     found = found.select(*names, _places("term").alias("_places"))
     revealing = F.filter(
@@ -252,7 +264,7 @@ def find(df: DataFrame, text: str = "text", spans: str = "spans", settings: Disc
             "_places",
             lambda p: F.struct(
                 p["kind"].alias("kind"), p["start"].alias("start"), p["end"].alias("end"),
-                F.get(F.filter("_actions", lambda a: a["term"] == F.lower(p["value"])), F.lit(0))["action"].alias("action"),
+                F.get("_actions", F.array_position("_flagged", F.lower(p["value"])).cast("int") - 1).alias("action"),
             ),
         ),
         lambda p: p["action"].isNotNull() & ~F.exists("_spans", lambda s: (s["start"] < p["end"]) & (p["start"] < s["end"])),

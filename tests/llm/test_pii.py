@@ -84,6 +84,19 @@ def test_revealing_words(spark):
     assert clean[10] == df_text[10] and clean[None] is None
 
 
+def test_rare_entities_have_revealing_words(spark):
+    """Entities of one and of two texts, and copies of one text, among enough others."""
+    rows = ["Trillianne writes please tm@example.org today", "Marvinius please ma@example.org", "today please ma@example.org Marvinius"]
+    rows += ["Fordprefect today fp@example.org please"] * 40 + [f"some words please today {i}" for i in range(300)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = pii.find(df).collect()
+    words = lambda r: {(r.text[s.start : s.end], s.action) for s in r.spans if s.kind == pii.TERM}
+    assert words(found[0]) == {("Trillianne", "remove"), ("writes", "remove")}
+    assert words(found[1]) == words(found[2]) == {("Marvinius", "remove")}
+    assert all(words(r) == {("Fordprefect", "remove")} for r in found[3:43])
+    assert not any(r.spans for r in found[43:])
+
+
 @pytest.mark.parametrize("rows", [0, 100_000])
 def test_both_sizes_give_the_same(spark, rows):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(corpus())], "doc_id long, text string")
