@@ -41,7 +41,7 @@ HINTS = {
     "card": r"(?:[0-9][\x20-]?){13}",
     "phone": r"\+[0-9]",
 }
-TERM_PATTERN = r"\p{L}{4,}+"
+TERM_PATTERN = r"[\p{L}\p{M}\p{N}]++"
 
 
 @dataclass(frozen=True)
@@ -158,11 +158,25 @@ def _terms(text: Column | str) -> Column:
 
 
 def _contexts(text: Column, span: Column, reach: int) -> Column:
-    """Words near a span. Forty characters for each word asked for are looked at."""
-    width = 40 * reach
-    left = _terms(F.substring(text, F.greatest(span["start"] - width, F.lit(0)) + 1, F.least(span["start"], F.lit(width))))
-    right = _terms(F.substring(text, span["end"] + 1, F.lit(width)))
-    last = F.slice(left, F.greatest(F.size(left) - reach, F.lit(0)) + 1, reach)
+    """The ``reach`` words before a span and after it, however far away they stand."""
+
+    def before(width: Column) -> Column:
+        return _terms(F.substring(text, span["start"] - width + 1, width))
+
+    def after(width: Column) -> Column:
+        return _terms(F.substring(text, span["end"] + 1, width))
+
+    def side(words: Callable[[Column], Column], size: Column) -> Column:
+        # A stretch with more words than asked for has them whole: only its last one can be cut.
+        def within(width: int, longer: Column) -> Column:
+            enough = lambda held: F.when((F.size(held) > reach) | (size <= width), held).otherwise(longer)
+            return _bound(words(F.least(size, F.lit(width))), enough)
+
+        return within(40 * reach, within(3_200 * reach, words(size)))
+
+    left = side(before, span["start"])
+    right = side(after, F.char_length(text) - span["end"])
+    last = _bound(left, lambda held: F.slice(held, F.greatest(F.size(held) - reach, F.lit(0)) + 1, reach))
     return F.array_distinct(F.concat(last, F.slice(right, 1, reach)))
 
 

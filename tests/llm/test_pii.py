@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from adstrata.llm import pii, queries
 
@@ -97,6 +98,30 @@ def test_rare_entities_have_revealing_words(spark):
     assert not any(r.spans for r in found[43:])
 
 
+def test_short_names_numbers_and_far_words(spark):
+    """Words of any length, with digits, and behind stretches without words reveal as well."""
+    gap = lambda n: " " + "-=" * n + " "
+    rows = [f"Kim X7{gap(150)}today please ab@example.org{gap(9_000)}some Zoë4 words" for _ in range(2)]
+    rows += [f"some words please today {i}" for i in range(300)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = pii.find(df).collect()
+    words = lambda r: {r.text[s.start : s.end] for s in r.spans if s.kind == pii.TERM}
+    assert all(words(r) == {"Kim", "X7", "Zoë4"} for r in found[:2])
+    assert not any(r.spans for r in found[2:])
+
+
+def test_contexts_are_whole_words(spark):
+    """The five words on each side, against plain splitting of the whole text."""
+    rnd = random.Random(7)
+    parts = ["a", "Bo", "x" * 190, "y" * 5_000, "12", "...", " " * 195, "-" * 20_000, "é", "word"]
+    rows = [("".join(rnd.choice(parts) + " " for _ in range(rnd.randint(0, 12))) + "a@b.co" + "".join(" " + rnd.choice(parts) for _ in range(rnd.randint(0, 12))),) for _ in range(200)]
+    df = pii.base_spans(spark.createDataFrame(rows, "text string"), "text").filter("size(spans) = 1")
+    df = df.select("text", F.col("spans")[0].alias("s"))
+    for row in df.select("text", "s", pii._contexts(F.col("text"), F.col("s"), 5).alias("near")).collect():
+        split = lambda t: re.findall(r"[^\W_]+", t.lower())
+        assert set(row.near) == {*split(row.text[: row.s.start])[-5:], *split(row.text[row.s.end :])[:5]}
+
+
 @pytest.mark.parametrize("rows", [0, 100_000])
 def test_both_sizes_give_the_same(spark, rows):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(corpus())], "doc_id long, text string")
