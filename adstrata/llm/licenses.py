@@ -129,13 +129,24 @@ class Scanner:
             found[k] = merged
         return found
 
+    def matches(self, k: int, joined: str, a: int, b: int) -> list[regex.Match]:
+        """Matches of a notice in a stretch: the best one, then those before and behind it."""
+        found, left = [], [(a, b)]
+        while left:
+            a, b = left.pop()
+            match = self.fuzzy[k].search(joined, a, b)
+            if match:
+                found.append(match)
+                left += [(a, match.start()), (match.end(), b)]
+        return found
+
     def scan(self, joined: str) -> list[tuple[str, int, int, int, float]]:
         """Label, first and last word, edits and similarity of each notice found."""
         hits = []
         for k, spans in self.windows(joined).items():
             label, text, _ = self.notices[k]
             for a, b in spans:
-                for match in self.fuzzy[k].finditer(joined, a, b):
+                for match in self.matches(k, joined, a, b):
                     edits = sum(match.fuzzy_counts)
                     begin = match.start() + len(match.group()) - len(match.group().lstrip(" "))
                     first = joined.count(" ", 0, begin)

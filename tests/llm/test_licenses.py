@@ -71,6 +71,46 @@ def test_spans_and_edits(spark):
     assert row.base_labels == "" and row.labels == "apache" and 0.9 < row.score < 1
 
 
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        diagonal, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            diagonal, row[j] = row[j], min(diagonal + (x != y), row[j] + 1, row[j - 1] + 1)
+    return row[-1]
+
+
+def brute_force(words, notice):
+    """Stretches of words by their edits, the best first, without those that overlap a better one."""
+    size, edits = len(notice.split()), licenses.edits_allowed(notice)
+    tried = [(distance(" ".join(words[i : i + size]), notice), i) for i in range(len(words) - size + 1)]
+    taken = []
+    for n, i in sorted(t for t in tried if t[0] <= edits):
+        if all(abs(i - j) >= size for j, _ in taken):
+            taken.append((i, n))
+    return sorted((i, i + size - 1, n) for i, n in taken)
+
+
+def test_adjacent_notices():
+    """Worse copies of a notice are found beside better ones, in any order."""
+    rnd = random.Random(5)
+    for label, notice in [n for n in licenses.NOTICES if licenses.edits_allowed(n[1])]:
+        scanner = licenses.Scanner([(label, notice)])
+        for _ in range(6):
+            words = []
+            for _ in range(rnd.randint(2, 5)):
+                letters = list(notice)
+                inside = [i for i in range(1, len(letters) - 1) if " " not in letters[i - 1 : i + 2]]
+                for at in rnd.sample(inside, rnd.randint(0, licenses.edits_allowed(notice))):
+                    letters[at] = "q"
+                words += "".join(letters).split() + ["and"] * rnd.randint(0, 1)
+            expected = brute_force(words, notice)
+            assert len(expected) > 1
+            assert [h[1:4] for h in scanner.scan(" ".join(words))] == expected, words
+    undr = "released undr the mit license released under the mit license"
+    assert [h[1:4] for h in licenses.Scanner(licenses.NOTICES[:1]).scan(undr)] == [(0, 4, 1), (5, 9, 0)]
+
+
 def test_pieces_cover_the_notice():
     for _, notice in licenses.NOTICES:
         cut = licenses.pieces(notice)
