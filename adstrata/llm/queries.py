@@ -59,7 +59,7 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~quality.passes(quality.BASE)).alias("base_failed"),
         quality.passes(quality.CURRENT).alias("kept"),
-        "failures",
+        F.col("failures").bitwiseAND(F.lit(quality.CURRENT.mask).cast("long")).alias("failures"),
     )
 
 

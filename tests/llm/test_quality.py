@@ -76,6 +76,26 @@ def test_policies(spark, policy):
     assert {r.doc_id for r in ledger.filter(quality.passes(policy)).collect()} == expected
 
 
+def test_few_repeated_lines_are_kept(spark):
+    """A line repeated in a short text is no reason to reject it under the last policy; many are."""
+    line = lambda i: " ".join(f"word{'abcdefgh'[i]}{chr(97 + k)}" for k in range(25))
+    short = "\n".join(["Hello there", "Hello there", line(0), line(1), "Bye", "Bye"])
+    three = "\n".join(["A heading", "A heading", line(3) + " " + line(4)])
+    junk = "\n".join(line(i) for i in range(5)) + "\nhome\nnext" * 4
+    df = spark.createDataFrame([(1, short), (2, three), (3, junk)], "doc_id long, text string")
+    assert {r.doc_id for r in quality.ledger(df).filter(quality.passes(quality.POLICIES[-1])).collect()} == {1, 2}
+
+
+def test_last_policy_keeps_documents_labelled_good(spark):
+    """No document labelled good is lost to repeated lines alone, and none labelled bad comes in for it."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    lines = 1 << quality.RULES["duplicate_lines"].bit | 1 << quality.RULES["repeated_lines"].bit
+    alone = quality.ledger(docs).filter(f"failures & {lines} != 0 and failures & ~{lines} = 0").join(labels, "doc_id")
+    assert [(r.quality, r.kept) for r in alone.select("quality", quality.passes(quality.POLICIES[-1]).alias("kept")).distinct().collect()] == [(1, True)]
+
+
 def test_ablations(spark):
     rows = spark.createDataFrame([(0,), (1,), (1,), (3,), (4,), (260,)], "failures long")
     found = {(r.policy, r.version, r.rule): r for r in quality.ablations(rows).collect()}
