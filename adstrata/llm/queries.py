@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adstrata.llm import bpe, chat, decontaminate, jaccard, licenses, pii, quality, sharding, token_counts, token_store
+from adstrata.llm import (
+    bpe, chat, decontaminate, divergence, jaccard, langid, licenses, merkle, pii, quality, sharding, token_counts, token_store,
+)
 from adstrata.llm.frames import scratch_path, stored, table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -199,6 +201,144 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """Distances between the sources of a language, and the terms that set them apart."""
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+OP11_SQL = """
+with docs as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as t from documents
+),
+found as (
+  select r, lang, source, unnest(regexp_extract_all(
+    translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+'
+  )) as term
+  from docs
+),
+kept as (select lang, term, count(*) as n from found group by all having count(distinct r) >= 10),
+sizes as (select lang, count(*) as v, sum(n) as total from kept group by lang),
+counts as (select lang, source, term, count(*) as n from found join kept using (lang, term) group by all),
+sources as (
+  select lang, source, coalesce(v, 0) as v, coalesce(sizes.total, 0) as lang_total, coalesce(sum(n), 0) as total
+  from (select distinct lang, source from docs) left join sizes using (lang) left join counts using (lang, source)
+  group by all
+),
+shares as (
+  select s.lang, s.source, k.term, coalesce(c.n, 0) as n,
+    1 + cast(1000000000 as hugeint) * (coalesce(c.n, 0) + 2) // (s.total + 2 * s.v) as p,
+    1 + cast(1000000000 as hugeint) * (k.n + 2) // (s.lang_total + 2 * s.v) as q
+  from sources s join kept k using (lang) left join counts c using (lang, source, term)
+),
+apart as (
+  select lang, source, term as item, cast((p - q) * (p - q) // (p + q) as bigint) as value
+  from shares where n > 0 and p > q
+),
+near as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+),
+pairs as (
+  select a.lang, a.source, b.source as item, cast(coalesce(value, 0) as bigint) as value
+  from sources a join sources b on a.lang = b.lang and a.source <> b.source
+  left join near n on n.lang = a.lang and n.source = a.source and n.item = b.source
+)
+select lang, source, part, item, value,
+  cast(row_number() over (partition by lang, source, part order by value desc, item) as int) as rank
+from (select *, 'pair' as part from pairs union all select *, 'term' as part from apart)
+qualify part = 'pair' or rank <= 10
+"""
+
+
+FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's proof against the root, folded again from a text that may have been changed."""
+    docs = table(spark, folder, "documents")
+    changed = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0
+    text = F.when(changed, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    later = merkle.row_digest([text if c == "text" else F.col(c) for c in FIELDS])
+    manifest = merkle.build(docs, FIELDS, carried={"doc_id": F.col("doc_id"), "later": later})
+    asked = manifest.leaves.select("part", "rank", "doc_id", F.col("digest").alias("leaf"), "later")
+    proofs = merkle.verify(manifest.prove(asked), F.col("later"))
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
+def _tree_sql(name: str, rows: str, depth: int) -> str:
+    """Levels of a tree over ``rows`` (s, r, d); a group with one node left stays as it is."""
+    levels = [f"{name}0 as (select s, r, d, count(*) over (partition by s) as n from {rows})"]
+    for i in range(depth):
+        levels.append(
+            f"{name}{i + 1} as (select s, r // 3 as r, (any_value(n) + 2) // 3 as n,"
+            f" if(any_value(n) = 1, any_value(d), sha256(string_agg(d, '' order by r))) as d"
+            f" from {name}{i} group by s, r // 3)"
+        )
+    return ",\n".join(levels)
+
+
+def _walk_sql(name: str, start: str, depth: int) -> str:
+    """Siblings and the folded digest on the way up from ``start`` (s, k, r, id, sib, cur)."""
+    steps = [f"{name}_w0 as (select *, r as at from {start})"]
+    for i in range(depth):
+        # A level with one node has no siblings and is not folded.
+        steps.append(
+            f"{name}_w{i + 1} as (select w.s, w.k, w.id, w.r, w.at // 3 as at,"
+            f" w.sib || coalesce(string_agg(t.d, '' order by t.r) filter (t.r <> w.at), '') as sib,"
+            f" if(any_value(t.n) = 1, w.cur, sha256(coalesce(string_agg(if(t.r = w.at, w.cur, t.d), '' order by t.r), ''))) as cur"
+            f" from {name}_w{i} w join {name}{i} t on t.s = w.s and t.r // 3 = w.at // 3"
+            f" group by w.s, w.k, w.id, w.r, w.at, w.sib, w.cur)"
+        )
+    return ",\n".join(steps)
+
+
+SOURCE_DEPTH, TOP_DEPTH = 11, 5  # levels for 177,147 documents a source and 243 sources
+OP12_SQL = f"""
+with docs as (
+  select row_number() over () as id, doc_id, coalesce('=' || source, '') as s, source, lang, n_chars, text,
+    list_reduce(list_prepend(4294967295, list_transform(string_split(cast(doc_id as varchar), ''), lambda x: cast(ascii(x) as bigint))),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))) as crc
+  from documents
+),
+encoded as (
+  select *, coalesce(strlen(cast(doc_id as varchar)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(cast(n_chars as varchar)) || ':' || n_chars, '-') as head,
+    if(xor(crc, 4294967295) % 2 = 0, replace(text, chr(10), ''), text) as changed
+  from docs
+),
+leaves as (
+  select id, doc_id, s, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as d,
+    sha256(head || coalesce(strlen(changed) || ':' || changed, '-')) as later
+  from encoded
+),
+placed as (select *, row_number() over (partition by s order by doc_id nulls first, d) - 1 as r from leaves),
+{_tree_sql("low", "placed", SOURCE_DEPTH)},
+subroots as (select '' as s, s as of, row_number() over (order by s) - 1 as r, d from low{SOURCE_DEPTH}),
+{_tree_sql("top", "subroots", TOP_DEPTH)},
+asked as (select s, '' as k, r, id, '' as sib, later as cur from placed),
+{_walk_sql("low", "asked", SOURCE_DEPTH)},
+inner_done as (select '' as s, w.s as k, o.r, w.id, w.sib, w.cur from low_w{SOURCE_DEPTH} w join subroots o on o.of = w.s),
+{_walk_sql("top", "inner_done", TOP_DEPTH)}
+select doc_id, leaves.d as leaf, subroots.d as subroot, top{TOP_DEPTH}.d as root, sha256(sib) as proof_sha256,
+  cur as folded_root, cur = top{TOP_DEPTH}.d as verified
+from top_w{TOP_DEPTH} w join leaves using (id) join subroots on subroots.of = leaves.s cross join top{TOP_DEPTH}
+"""
+
+
+def op13_languages(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from two thirds of them."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    third = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3))
+    docs = docs.select("*", F.coalesce(third == 1, F.lit(False)).alias("held_out"))
+    learned = docs.filter((third != 1) & F.col("lang").isNotNull()).select("doc_id", "lang", "text")
+    model = langid.train(learned)
+    return langid.predict(docs.select("doc_id", "held_out", "text"), model).select(
+        "doc_id", "held_out", F.coalesce("lang_pred", F.lit("und")).alias("lang_pred"), "score", "accepted", "cross_entropy"
+    )
+
+
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_shards": op2_shards,
@@ -210,5 +350,8 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_counts": op10_token_counts,
+    "op11_divergence": op11_divergence,
+    "op12_merkle": op12_merkle,
+    "op13_languages": op13_languages,
 }
-CHECKS = {"op4_quality": OP4_SQL, "op9_jaccard_join": OP9_SQL}
+CHECKS = {"op4_quality": OP4_SQL, "op9_jaccard_join": OP9_SQL, "op11_divergence": OP11_SQL, "op12_merkle": OP12_SQL}
