@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,14 +24,17 @@ from adstrata.llm.frames import column_name, give_back, sliced, stored
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SCALE = 1_000_000_000
-# A task hands its counts on when it holds so many chunks, bytes of them, or pairs of chunk and document.
-MOST_CHUNKS, MOST_BYTES, MOST_PAIRS = 500_000, 64_000_000, 2_000_000
+# A task hands its counts on when it holds so many chunks, bytes of them, or pairs of chunk and group;
+# so many pairs of chunk and document are summed up at a time.
+MOST_CHUNKS, MOST_BYTES, MOST_SUMS, MOST_PAIRS = 700_000, 64_000_000, 2_000_000, 1_500_000
+# Bits of the filter for chunks that have to be looked up; it bounds what is broadcast, not what is found.
+FILTER_BITS, FILTER_WORD = 1 << 27, 1 << 15
 BATCH_ROWS = 50_000
 # Sources are compared in tiles of so many by so many.
 TILE = 256
 MOST_TILES = 64
 
-CHUNKS = "lang string, source string, chunk string, n long, n_docs long, rows array<long>"
+CHUNKS = "lang string, source string, chunk string, n long, n_docs long"
 SUMS = "lang string, a long, b long, total long, n_terms long"
 
 
@@ -43,20 +47,20 @@ class Numbers(dict):
 
 
 class ChunkCounts:
-    """Counts of chunks by group of documents, with the rows of chunks that few documents hold."""
+    """Occurrences and documents of chunks by group of documents."""
 
-    def __init__(self, few: int) -> None:
-        self.few = few
+    def __init__(self) -> None:
         self.clear()
 
     def clear(self) -> None:
-        self.chunks, self.groups, self.langs = Numbers(), Numbers(), Numbers()
-        self.bytes = self.pairs = 0
+        self.chunks, self.groups = Numbers(), Numbers()
+        self.bytes = self.pairs = self.n_sums = 0
+        self.sums: tuple[np.ndarray, ...] = ()
         self.ids: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
-        self.owners: list[tuple[int, int, int]] = []
+        self.owners: list[tuple[int, int]] = []
 
-    def add(self, lang: str, source: str, row: int, text: bytes) -> None:
+    def add(self, lang: str, source: str, text: bytes) -> None:
         found = Counter(text.split())  # of bytes: ASCII white space only
         if not found:
             return
@@ -66,54 +70,53 @@ class ChunkCounts:
             self.bytes += sum(map(len, found))
         self.ids.append(ids)
         self.counts.append(np.fromiter(found.values(), np.int64, len(found)))
-        self.owners.append((self.groups[lang, source], row, len(found)))
+        self.owners.append((self.groups[lang, source], len(found)))
         self.pairs += len(found)
+        if self.pairs >= MOST_PAIRS:
+            self.sum_up()
 
     def full(self) -> bool:
-        return len(self.chunks) >= MOST_CHUNKS or self.bytes >= MOST_BYTES or self.pairs >= MOST_PAIRS
+        return len(self.chunks) >= MOST_CHUNKS or self.bytes >= MOST_BYTES or self.n_sums >= MOST_SUMS
 
-    def batches(self) -> Iterator[pa.RecordBatch]:
+    def sum_up(self) -> None:
+        """Merge the pairs with documents into the sums by group, ordered by chunk and group."""
         if not self.pairs:
             return
-        group, row, size = (np.array(x, np.int64) for x in zip(*self.owners))
-        key = np.concatenate(self.ids) * len(self.groups) + np.repeat(group, size)
+        group, size = (np.array(x, np.int64) for x in zip(*self.owners))
+        key = (np.concatenate(self.ids) << 32) | np.repeat(group, size)
+        n, n_docs = np.concatenate(self.counts), np.ones(len(key), np.int64)
+        if self.sums:
+            key, n, n_docs = (np.concatenate(x) for x in zip(self.sums, (key, n, n_docs)))
         order = np.argsort(key, kind="stable")
-        key, row = key[order], np.repeat(row, size)[order]
+        key = key[order]
         begin = np.flatnonzero(np.diff(key, prepend=-1))
-        n = np.add.reduceat(np.concatenate(self.counts)[order], begin)
-        n_docs = np.diff(begin, append=len(key))
-        chunk, group = np.divmod(key[begin], len(self.groups))
-        names = list(self.groups)
-        lang_of = np.array([self.langs[lang] for lang, _ in names], np.int64)
-        _, same = np.unique(chunk * len(self.langs) + lang_of[group], return_inverse=True)
-        rare = np.bincount(same, n_docs)[same] < self.few
-        listed = np.where(rare, n_docs, 0)
-        rows = row[np.repeat(rare, n_docs)]
-        upto = np.concatenate([[0], np.cumsum(listed)])
+        self.sums = key[begin], np.add.reduceat(n[order], begin), np.add.reduceat(n_docs[order], begin)
+        self.ids, self.counts, self.owners, self.pairs = [], [], [], 0
+        self.n_sums = len(begin)
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        self.sum_up()
+        if not self.sums:
+            return
+        key, n, n_docs = self.sums
+        chunk, group = key >> 32, key & 0xFFFFFFFF
         strings = pa.array(list(self.chunks), pa.binary()).cast(pa.string())
-        langs, sources = (pa.array(x, pa.string()) for x in zip(*names))
-        for a in range(0, len(begin), BATCH_ROWS):
-            b = min(a + BATCH_ROWS, len(begin))
-            lists = pa.ListArray.from_arrays(
-                pa.array(upto[a : b + 1] - upto[a], pa.int32()), pa.array(rows[upto[a] : upto[b]], pa.int64())
-            )
+        langs, sources = (pa.array(x, pa.string()) for x in zip(*self.groups))
+        for a in range(0, len(key), BATCH_ROWS):
+            b = min(a + BATCH_ROWS, len(key))
             columns = [langs.take(pa.array(group[a:b])), sources.take(pa.array(group[a:b]))]
-            columns += [strings.take(pa.array(chunk[a:b])), pa.array(n[a:b]), pa.array(n_docs[a:b]), lists]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "chunk", "n", "n_docs", "rows"])
+            columns += [strings.take(pa.array(chunk[a:b])), pa.array(n[a:b]), pa.array(n_docs[a:b])]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "chunk", "n", "n_docs"])
 
 
-def count_chunks(docs: DataFrame, few: int) -> DataFrame:
-    """Partial counts of the chunks of ``lang``, ``source``, ``text`` (no nulls); one row a task and group.
-
-    ``rows`` lists the documents of a chunk that fewer than ``few`` documents of the language hold there.
-    """
-    numbered = docs.select("lang", "source", "text", F.monotonically_increasing_id().alias("row"))
+def count_chunks(docs: DataFrame) -> DataFrame:
+    """Partial counts of the chunks of ``lang``, ``source``, ``text`` (no nulls), as the tasks see them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = ChunkCounts(few)
+        counts = ChunkCounts()
         for batch in sliced(batches):
-            lang, source, text, row = batch.columns
-            for one in zip(lang.to_pylist(), source.to_pylist(), row.to_pylist(), text.cast(pa.binary()).to_pylist()):
+            lang, source, text = batch.columns
+            for one in zip(lang.to_pylist(), source.to_pylist(), text.cast(pa.binary()).to_pylist()):
                 counts.add(*one)
                 if counts.full():
                     yield from counts.batches()
@@ -122,7 +125,44 @@ def count_chunks(docs: DataFrame, few: int) -> DataFrame:
         counts.clear()
         give_back()
 
-    return numbered.mapInArrow(run, CHUNKS)
+    return docs.select("lang", "source", "text").mapInArrow(run, CHUNKS)
+
+
+def _filter_of(rows: DataFrame) -> np.ndarray:
+    """Bits of the hashes of ``lang`` and ``chunk``: FILTER_BITS of them, however many rows there are."""
+    at = F.pmod(F.xxhash64("lang", "chunk"), F.lit(FILTER_BITS))
+    words = rows.select(at.alias("at")).selectExpr(f"at div {FILTER_WORD} as word", f"at % {FILTER_WORD} as bit")
+    found = words.groupBy("word").agg(F.bitmap_construct_agg("bit").alias("bits")).toArrow()
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    size = FILTER_WORD // 8
+    for word, part in zip(found.column("word").to_pylist(), found.column("bits").to_pylist()):
+        bits[word * size : (word + 1) * size] = np.frombuffer(part, np.uint8)
+    return bits
+
+
+def _look_up(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``lang``, ``chunk`` and ``row`` for the documents of wanted chunks, and of a few others."""
+    numbered = docs.select("lang", "text", F.monotonically_increasing_id().alias("row"))
+    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in sliced(batches):
+            out = []
+            for lang, text, row in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
+                chunks = list(set(text.split()))
+                if not chunks:
+                    continue
+                seed = xxhash.xxh64_intdigest(lang.encode(), 42)
+                at = np.fromiter((xxhash.xxh64_intdigest(c, seed) for c in chunks), np.uint64, len(chunks))
+                at = (at % np.uint64(FILTER_BITS)).astype(np.int64)
+                hit = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+                out += [(lang, chunks[i], row) for i in hit.tolist()]
+            langs, chunks, rows = zip(*out) if out else ((), (), ())
+            columns = [pa.array(langs, pa.string()), pa.array(chunks, pa.binary()).cast(pa.string()), pa.array(rows, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "chunk", "row"])
+
+    return numbered.mapInArrow(run, "lang string, chunk string, row long")
 
 
 def cut_chunks(chunks: DataFrame) -> DataFrame:
@@ -143,11 +183,12 @@ def frequent_terms(docs: DataFrame, min_docs: int) -> DataFrame:
     Only terms that at least ``min_docs`` documents of the language hold. ``docs`` has ``lang``,
     ``source`` and ``text`` without nulls. Intermediate tables go to the shared folder.
     """
-    chunks = stored(count_chunks(docs, min_docs), "divergence-chunks")
+    chunks = stored(count_chunks(docs), "divergence-chunks")
     cut = stored(cut_chunks(chunks), "divergence-cut")
     whole = chunks.repartition("chunk").groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
+    # Chunks are told apart in the table of their terms, so no key of it is large.
     terms = stored(
-        whole.join(cut, "chunk")
+        whole.join(cut.hint("shuffle_hash"), "chunk")
         .groupBy("lang", "source", "term")
         .agg(
             F.sum(F.col("n") * F.col("times")).alias("n"),
@@ -156,16 +197,18 @@ def frequent_terms(docs: DataFrame, min_docs: int) -> DataFrame:
         ),
         "divergence-terms",
     )
-    bounds = terms.groupBy("lang", "term").agg(
-        F.sum("n").alias("n_lang"), F.sum("least").alias("least"), F.sum("most").alias("most")
+    bounds = stored(
+        terms.groupBy("lang", "term")
+        .agg(F.sum("n").alias("n_lang"), F.sum("least").alias("least"), F.sum("most").alias("most"))
+        .filter(F.col("most") >= min_docs),
+        "divergence-bounds",
     )
-    open_ = bounds.filter((F.col("least") < min_docs) & (F.col("most") >= min_docs)).select("lang", "term", "n_lang")
-    # No chunk of an open term has min_docs documents, so all of its rows are listed.
+    open_ = bounds.filter(F.col("least") < min_docs).select("lang", "term", "n_lang")
+    wanted = stored(open_.select("lang", "term").join(cut.select("chunk", "term"), "term"), "divergence-open")
     held = (
-        open_.select("lang", "term")
-        .join(cut.select("chunk", "term"), "term")
-        .join(chunks.filter(F.size("rows") > 0).select("lang", "chunk", "rows"), ["lang", "chunk"])
-        .select("lang", "term", F.explode("rows").alias("row"))
+        _look_up(docs, wanted)
+        .join(wanted, ["lang", "chunk"])
+        .select("lang", "term", "row")
         .distinct()
         .groupBy("lang", "term")
         .agg(F.count("*").alias("n_docs"))

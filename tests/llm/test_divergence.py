@@ -68,12 +68,23 @@ def test_against_the_definition(spark, corpus):
 
 def test_small_buffers_and_tiles_change_nothing(spark, corpus, monkeypatch):
     monkeypatch.setattr(divergence, "MOST_PAIRS", 40)
+    monkeypatch.setattr(divergence, "MOST_SUMS", 60)
+    monkeypatch.setattr(divergence, "FILTER_BITS", divergence.FILTER_WORD)
     monkeypatch.setattr(divergence, "TILE", 2)
     monkeypatch.setattr(divergence, "MOST_TILES", 1)
     docs = spark.createDataFrame(corpus, "lang string, source string, text string").repartition(3)
     assert as_set(divergence.audit(docs)) == plain(corpus)
 
 
+def test_the_filter_hashes_alike(spark):
+    """A chunk that is wanted passes the filter; most others don't."""
+    wanted = spark.createDataFrame([("en", "häuser,"), ("", "x" * 100), ("fr", "中文中文中")], "lang string, chunk string")
+    docs = [("en", "häuser, häuser"), ("", "x" * 100), ("fr", "a 中文中文中"), ("de", "häuser,"), ("en", " ".join(map(str, range(500))))]
+    found = divergence._look_up(spark.createDataFrame(docs, "lang string, text string"), wanted).collect()
+    assert {(r["lang"], r["chunk"]) for r in found} >= {("en", "häuser,"), ("", "x" * 100), ("fr", "中文中文中")}
+    assert len(found) <= 5
+
+
 def test_documents_of_open_terms_are_counted(spark):
     # Twelve documents hold "word" in chunks of their own, two of them twice; "rare" is in nine.
     docs = [("en", f"s{i % 3}", f"word{'!' * i} word{'?' * (i % 2)}x rare{i if i < 9 else ''}" if i < 9 else f"word{'!' * i}") for i in range(12)]
