@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -140,24 +141,30 @@ def _filter_of(rows: DataFrame) -> np.ndarray:
     return bits
 
 
-def _look_up(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``lang``, ``chunk`` and ``row`` for the documents of wanted chunks, and of a few others."""
+def _look_up(docs: DataFrame, wanted: DataFrame, min_docs: int) -> DataFrame:
+    """``lang``, ``chunk`` and ``row`` for the documents of wanted chunks, and of a few others.
+
+    A wanted chunk is in fewer than ``min_docs`` documents of its language.
+    """
     numbered = docs.select("lang", "text", F.monotonically_increasing_id().alias("row"))
     shared = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in sliced(batches):
+            langs, rows = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            held = [set(text.split()) for text in batch.column(1).cast(pa.binary()).to_pylist()]
             out = []
-            for lang, text, row in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
-                chunks = list(set(text.split()))
-                if not chunks:
-                    continue
+            for lang in set(langs):
+                own = [k for k, other in enumerate(langs) if other == lang]
+                n_docs = Counter(chain.from_iterable(held[k] for k in own))
+                # What so many documents of a slice hold is not in doubt.
+                rare = [chunk for chunk, n in n_docs.items() if n < min_docs]
                 seed = xxhash.xxh64_intdigest(lang.encode(), 42)
-                at = np.fromiter((xxhash.xxh64_intdigest(c, seed) for c in chunks), np.uint64, len(chunks))
+                at = np.fromiter((xxhash.xxh64_intdigest(c, seed) for c in rare), np.uint64, len(rare))
                 at = (at % np.uint64(FILTER_BITS)).astype(np.int64)
-                hit = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
-                out += [(lang, chunks[i], row) for i in hit.tolist()]
+                hits = {rare[i] for i in np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).tolist()}
+                out += [(lang, chunk, rows[k]) for k in own for chunk in hits & held[k]]
             langs, chunks, rows = zip(*out) if out else ((), (), ())
             columns = [pa.array(langs, pa.string()), pa.array(chunks, pa.binary()).cast(pa.string()), pa.array(rows, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "chunk", "row"])
@@ -183,30 +190,27 @@ def frequent_terms(docs: DataFrame, min_docs: int) -> DataFrame:
     Only terms that at least ``min_docs`` documents of the language hold. ``docs`` has ``lang``,
     ``source`` and ``text`` without nulls. Intermediate tables go to the shared folder.
     """
-    chunks = stored(count_chunks(docs), "divergence-chunks")
+    chunks = stored(count_chunks(docs), "divergence-chunks", "zstd")
     cut = stored(cut_chunks(chunks), "divergence-cut")
     whole = chunks.repartition("chunk").groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
-    # Chunks are told apart in the table of their terms, so no key of it is large.
-    terms = stored(
+    # Every chunk is one key of the table of terms, so none of its partitions is large.
+    by_source = (
         whole.join(cut.hint("shuffle_hash"), "chunk")
         .groupBy("lang", "source", "term")
-        .agg(
-            F.sum(F.col("n") * F.col("times")).alias("n"),
-            F.max("n_docs").alias("least"),
-            F.sum("n_docs").alias("most"),
-        ),
-        "divergence-terms",
+        .agg(F.sum(F.col("n") * F.col("times")).alias("n"), F.max("n_docs").alias("least"), F.sum("n_docs").alias("most"))
     )
-    bounds = stored(
-        terms.groupBy("lang", "term")
-        .agg(F.sum("n").alias("n_lang"), F.sum("least").alias("least"), F.sum("most").alias("most"))
-        .filter(F.col("most") >= min_docs),
-        "divergence-bounds",
-    )
-    open_ = bounds.filter(F.col("least") < min_docs).select("lang", "term", "n_lang")
-    wanted = stored(open_.select("lang", "term").join(cut.select("chunk", "term"), "term"), "divergence-open")
+    in_lang = Window.partitionBy("lang", "term")  # a row for each source
+    possible = stored(
+        by_source.select(
+            "lang", "source", "term", "n", F.sum("n").over(in_lang).alias("n_lang"),
+            (F.sum("least").over(in_lang) >= min_docs).alias("sure"), F.sum("most").over(in_lang).alias("most"),
+        ).filter(F.col("most") >= min_docs).drop("most"),
+        "divergence-possible",
+    )
+    open_ = possible.filter("not sure").select("lang", "term").distinct()
+    wanted = stored(open_.join(cut.select("chunk", "term"), "term"), "divergence-open")
     held = (
-        _look_up(docs, wanted)
+        _look_up(docs, wanted, min_docs)
         .join(wanted, ["lang", "chunk"])
         .select("lang", "term", "row")
         .distinct()
@@ -214,9 +218,8 @@ def frequent_terms(docs: DataFrame, min_docs: int) -> DataFrame:
         .agg(F.count("*").alias("n_docs"))
         .filter(F.col("n_docs") >= min_docs)
     )
-    sure = bounds.filter(F.col("least") >= min_docs).select("lang", "term", "n_lang")
-    kept = sure.union(open_.join(held.select("lang", "term"), ["lang", "term"], "left_semi"))
-    return stored(terms.select("lang", "source", "term", "n").join(kept, ["lang", "term"]), "divergence-kept")
+    kept = possible.filter("sure").union(possible.filter("not sure").join(held.select("lang", "term"), ["lang", "term"], "left_semi").select(possible.columns))
+    return stored(kept.drop("sure"), "divergence-kept")
 
 
 def _share(count: Column, total: Column, n_terms: Column) -> Column:
@@ -249,15 +252,20 @@ def _tile_sums(tiles: DataFrame) -> DataFrame:
             sums.clear()
 
         for batch in sliced(batches):
-            for lang, i, j, parts, base_i, base_j in zip(*(c.to_pylist() for c in batch.columns)):
-                p, q = np.array(base_i, np.int64), np.array(base_j, np.int64)
-                for part in parts:
-                    at = [e["at"] for e in part["entries"]]
-                    shares = [e["p"] for e in part["entries"]]
-                    if part["block"] == i:
-                        p[at] = shares
-                    if part["block"] == j:
-                        q[at] = shares
+            langs, i_s, j_s = (c.to_pylist() for c in batch.columns[:3])
+            parts, bases = batch.column(3), batch.columns[4:]
+            part_at, entries = parts.offsets.to_numpy(), parts.values.field("entries")
+            blocks, entry_at = parts.values.field("block").to_numpy(), entries.offsets.to_numpy()
+            at, shares = (entries.values.field(c).to_numpy() for c in ("at", "p"))
+            base_at, base_of = zip(*((c.offsets.to_numpy(), c.values.to_numpy()) for c in bases))
+            for row, (lang, i, j) in enumerate(zip(langs, i_s, j_s)):
+                p, q = (of[o[row] : o[row + 1]].copy() for o, of in zip(base_at, base_of))
+                for part in range(part_at[row], part_at[row + 1]):
+                    held = slice(entry_at[part], entry_at[part + 1])
+                    if blocks[part] == i:
+                        p[at[held]] = shares[held]
+                    if blocks[part] == j:
+                        q[at[held]] = shares[held]
                 distance = p[:, None] - q[None, :]
                 distance *= distance
                 distance //= p[:, None] + q[None, :]

@@ -80,7 +80,7 @@ def test_the_filter_hashes_alike(spark):
     """A chunk that is wanted passes the filter; most others don't."""
     wanted = spark.createDataFrame([("en", "häuser,"), ("", "x" * 100), ("fr", "中文中文中")], "lang string, chunk string")
     docs = [("en", "häuser, häuser"), ("", "x" * 100), ("fr", "a 中文中文中"), ("de", "häuser,"), ("en", " ".join(map(str, range(500))))]
-    found = divergence._look_up(spark.createDataFrame(docs, "lang string, text string"), wanted).collect()
+    found = divergence._look_up(spark.createDataFrame(docs, "lang string, text string"), wanted, 10).collect()
     assert {(r["lang"], r["chunk"]) for r in found} >= {("en", "häuser,"), ("", "x" * 100), ("fr", "中文中文中")}
     assert len(found) <= 5
 
