@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from adstrata.functions.scalars import days_between, exact_sum, ratio, whole_units
 from adstrata.operators import keys
-from adstrata.operators.timeline import busy_keys, order_in_buckets
+from adstrata.operators.timeline import order_by_ranges
 from adstrata.operators.touch_quality import BUSINESS_KEY
 
 # Shares of the first touch, the last touch and all touches in between.
@@ -18,23 +18,19 @@ FIRST_SHARE = 0.4
 LAST_SHARE = 0.4
 MIDDLE_SHARE = 0.2
 
-# Larger than any day number.
-LAST_DAY = 2**31 - 1
-
 
 def touchpoint_fact(
     opportunities: DataFrame,
     touchpoints: DataFrame,
     as_of: str,
     stages: Sequence[str] | None = None,
-    busy: DataFrame | None = None,
 ) -> DataFrame:
     """Valid touches of each deal in order, with their position in the deal.
 
     Inputs are cleaned. A touch counts when account and deal agree and the deal is open or
     closed no earlier than the touch. Repeated business keys keep the smallest id. ``stages``
     restricts the deals; by default all stages take part. Ages of open deals end at ``as_of``.
-    ``busy`` deals, by default found by counting, are ordered day by day.
+    Touches without a date come last in their deal.
     """
     deals = opportunities.select(
         "opportunity_id", "account_id", "created_at", "close_date", "stage_name", "amount"
@@ -45,16 +41,10 @@ def touchpoint_fact(
     joined = touchpoints.join(deals, ["opportunity_id", "account_id"]).where(open_or_before_close)
     fact = keys.keep_first(joined, BUSINESS_KEY, ["touchpoint_id"])
 
-    if busy is None:
-        busy = busy_keys(touchpoints.select("opportunity_id"), ["opportunity_id"])
-    # Touches without a date come last.
-    day = F.coalesce(F.unix_date(F.col("touch_date").cast("date")), F.lit(LAST_DAY)).cast("bigint")
-    fact = order_in_buckets(
+    fact = order_by_ranges(
         fact,
         ["opportunity_id"],
-        day,
         [F.col("touch_date").asc_nulls_last(), F.col("touchpoint_id").asc_nulls_last()],
-        busy,
         sequence="touch_sequence",
         totals={"touch_count": F.count("touchpoint_id"), "touch_rows": F.count(F.lit(1))},
     )

@@ -22,7 +22,7 @@ from adstrata.operators.timeline import (
     Lookback,
     busy_keys,
     lookback_rollup,
-    order_in_buckets,
+    order_by_ranges,
 )
 
 _ID_COLUMNS = [
@@ -252,16 +252,12 @@ def running_conversions(
     event_at: str,
     event_id: str,
     has_conversion: Column,
-    busy: DataFrame | None = None,
 ) -> DataFrame:
     """Touch order and conversions so far, per key in time order."""
-    micros = F.unix_micros(F.col(event_at).cast("timestamp"))
-    return order_in_buckets(
+    return order_by_ranges(
         df,
         [key],
-        micros - F.pmod(micros, F.lit(HOUR_US)),
         [F.col(event_at), F.col(event_id)],
-        busy_keys(df.select(key), [key]) if busy is None else busy,
         sequence="touch_order",
         running={"cumulative_conversions": has_conversion.cast("bigint")},
     )

@@ -1,10 +1,9 @@
 """Ordered computations per key that do not need a busy key in one task.
 
 A window over (key, time) sorts each key in a single task, which fails when one key holds a
-large part of the table. Here the time axis of a busy key is cut into buckets. A window then
-runs inside (key, bucket), and what lies before (or after) the bucket arrives as one carried
-row per (key, bucket), computed from bucket totals. Only the bucket totals are ever ordered
-per key, and their number is bounded by the calendar. All other keys are one bucket each.
+large part of the table. Sequences and running sums are cut where range partitioning cuts the rows.
+Look-back aggregates cut the time axis of a busy key into buckets. Windows then run inside a piece of
+a key, and what lies before (or after) it arrives as one carried row, computed from totals of the pieces.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adstrata.functions.scalars import MICROS, ColumnLike, as_column
+from adstrata.sources.scratch import written
 
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
@@ -26,6 +26,9 @@ BUSY_ROWS = 1_000_000
 
 WHOLE_KEY = 0
 
+# Cells of the interval index in a stretch of one lookback.
+CELLS = 8
+
 
 def busy_keys(df: DataFrame, key: Sequence[str], min_rows: int = BUSY_ROWS) -> DataFrame:
     """Keys that hold at least ``min_rows`` rows: at most one for so many rows of the table."""
@@ -47,57 +50,81 @@ def with_bucket(df: DataFrame, key: Sequence[str], bucket: Column, busy: DataFra
     )
 
 
-def order_in_buckets(
+def order_by_ranges(
     df: DataFrame,
     key: Sequence[str],
-    bucket: Column,
     order: Sequence[Column],
-    busy: DataFrame,
     *,
     sequence: str | None = None,
     totals: Mapping[str, Column] | None = None,
     running: Mapping[str, ColumnLike] | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
-    """Number rows per key, add key totals and running sums.
+    """Number rows per key, add key totals and running sums, whatever a key holds.
+
+    Rows are range-partitioned by key and order together, so a busy key is spread over several ranges
+    wherever its rows lie: at one instant, or without a time at all. Windows run inside (key, range). A
+    boundary cuts at most one key, so no more than two keys a range go on elsewhere; only for those do
+    totals of the ranges before arrive as one carried row per (key, range).
 
-    ``bucket`` is a bigint that grows with ``order`` and is never null; it cuts the ``busy``
-    keys. ``totals`` maps a new column to an aggregate over sums and counts, ``running`` maps
-    a new column to the value that is summed up to and including the current row. Rows whose
-    key is null belong to no key and are dropped.
+    ``totals`` maps a new column to an aggregate over sums and counts, ``running`` maps a new column to
+    the value that is summed up to and including the current row. Rows with a null in the key belong to
+    no key and are dropped. Without ``ranges`` Spark chooses their number. The ranged rows are written
+    to the shared folder once: boundaries are sampled, and all that follows has to see the same ones.
     """
     totals = dict(totals or {})
     running = {name: as_column(value) for name, value in (running or {}).items()}
-    cut = with_bucket(df, key, bucket, busy)
-
-    per_bucket = cut.groupBy(*key, "_bucket").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[value.alias(f"_total_{name}") for name, value in totals.items()],
-        *[F.sum(value).alias(f"_sum_{name}") for name, value in running.items()],
+    by = [*[F.col(k) for k in key], *order]
+    known = df.dropna(subset=list(key))
+    dealt = known.repartitionByRange(*by) if ranges is None else known.repartitionByRange(ranges, *by)
+    placed = written(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+
+    whole = F.struct(*key)
+    ends = placed.groupBy("_range").agg(F.array_distinct(F.array(F.min(whole), F.max(whole))).alias("_ends"))
+    cut = (
+        ends.select("_range", F.explode("_ends").alias("_key"))
+        .groupBy("_key")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where("_n > 1")
+        .select("_key.*")
     )
-    whole_key = Window.partitionBy(*key)
-    earlier = whole_key.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_bucket.select(
+    per_range = (
+        placed.join(F.broadcast(cut), list(key), "left_semi")
+        .groupBy(*key, "_range")
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            *[value.alias(f"_total_{name}") for name, value in totals.items()],
+            *[F.sum(value).alias(f"_sum_{name}") for name, value in running.items()],
+        )
+    )
+    of_key = Window.partitionBy(*key)
+    earlier = of_key.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_range.select(
         *key,
-        "_bucket",
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows_before"),
-        *[F.sum(f"_total_{name}").over(whole_key).alias(name) for name in totals],
-        *[
-            F.coalesce(F.sum(f"_sum_{name}").over(earlier), F.lit(0)).alias(f"_before_{name}")
-            for name in running
-        ],
+        "_range",
+        F.sum("_rows").over(earlier).alias("_rows_before"),
+        *[F.sum(f"_total_{name}").over(of_key).alias(f"_whole_{name}") for name in totals],
+        *[F.sum(f"_sum_{name}").over(earlier).alias(f"_before_{name}") for name in running],
     )
 
-    inside = Window.partitionBy(*key, "_bucket").orderBy(*order)
-    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    added: dict[str, Column] = {}
+    inside = Window.partitionBy(*key, "_range")
+    ordered = inside.orderBy(*order)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local: dict[str, Column] = {f"_local_{name}": value.over(inside) for name, value in totals.items()}
     if sequence:
-        added[sequence] = F.col("_rows_before") + F.row_number().over(inside)
+        local["_place"] = F.row_number().over(ordered)
     for name, value in running.items():
-        added[name] = F.col(f"_before_{name}") + F.coalesce(F.sum(value).over(so_far), F.lit(0))
+        local[f"_run_{name}"] = F.sum(value).over(so_far)
+    zero = F.lit(0)
+    added = {name: F.coalesce(f"_whole_{name}", f"_local_{name}") for name in totals}
+    if sequence:
+        added[sequence] = F.coalesce("_rows_before", zero) + F.col("_place")
+    for name in running:
+        added[name] = F.coalesce(f"_before_{name}", zero) + F.coalesce(f"_run_{name}", zero)
     return (
-        cut.join(carried, [*key, "_bucket"])
-        .withColumns(added)
-        .drop("_bucket", "_rows_before", *[f"_before_{name}" for name in running])
+        placed.withColumns(local)
+        .join(F.broadcast(carried), [*key, "_range"], "left")  # at most two rows a range
+        .select(*df.columns, *[value.alias(name) for name, value in added.items()])
     )
 
 
@@ -381,6 +408,15 @@ def _readings(
 
 def _listed(edges: DataFrame, asked: DataFrame, collect: Lookback, lookback_us: int) -> DataFrame:
     """One row per probe and listed value in range."""
+    return (
+        _near_stretches(edges, asked, collect, lookback_us)
+        .where((F.col("_us") >= F.col("_from")) & (F.col("_us") <= F.col("_to")))
+        .select("_probe", F.lit(0).alias("_side"), F.col("_dim").alias("_list"), "_value")
+    )
+
+
+def _near_stretches(edges: DataFrame, asked: DataFrame, collect: Lookback, lookback_us: int) -> DataFrame:
+    """Probes with the stretches of listed values that share a cell of the interval index with them."""
     by_value = Window.partitionBy("_key", "_dim", "_value")
     numbered = edges.where(F.col("_dim").isin(list(collect.lists))).withColumn(
         "_stretch", F.sum(F.col("_opens").cast("int")).over(by_value.orderBy("_bucket"))
@@ -388,8 +424,23 @@ def _listed(edges: DataFrame, asked: DataFrame, collect: Lookback, lookback_us:
     stretches = numbered.groupBy("_key", "_dim", "_value", "_stretch").agg(
         F.min("_lo").alias("_from"), (F.max("_hi") + F.lit(lookback_us)).alias("_to")
     )
-    return (
-        asked.join(stretches, "_key")
-        .where((F.col("_us") >= F.col("_from")) & (F.col("_us") <= F.col("_to")))
-        .select("_probe", F.lit(0).alias("_side"), F.col("_dim").alias("_list"), "_value")
+    # A stretch is at least as long as the lookback. At its level it is five to nine cells long and reaches
+    # into one more at either end, so a probe meets few stretches but those that it is in.
+    width = F.lit(max(lookback_us // CELLS, 1)) * F.pow(F.lit(2.0), F.col("_level")).cast("bigint")
+    level = F.greatest(F.ceil(F.log2((F.col("_to") - F.col("_from")) / F.lit(float(max(lookback_us, 1))))), F.lit(0))
+    indexed = (
+        stretches.withColumn("_level", level.cast("int"))
+        .withColumn("_cell", F.explode(F.sequence(_cell(F.col("_from"), width), _cell(F.col("_to"), width))))
+    )
+    levels = stretches.groupBy("_key").agg(F.collect_set(level.cast("int")).alias("_levels"))  # at most 64
+    looked_up = (
+        asked.join(levels, "_key")
+        .withColumn("_level", F.explode("_levels"))
+        .select("_probe", "_key", "_us", "_level", _cell(F.col("_us"), width).alias("_cell"))
     )
+    return looked_up.join(indexed, ["_key", "_level", "_cell"])
+
+
+def _cell(us: Column, width: Column) -> Column:
+    """Number of the cell of a time axis that begins with the epoch; earlier times have negative numbers."""
+    return F.call_function("div", us - F.pmod(us, width), width)

@@ -111,14 +111,13 @@ def test_sequence_puts_missing_dates_last(spark, deals, rows):
         ("t1", "o2", "a2", "c2", "T", "ch", date(2024, 2, 1)),
         ("t0", "o2", "a2", "c3", "T", "ch", date(2024, 2, 5)),
     ]
-    for busy in (None, spark.createDataFrame([("o2",)], "opportunity_id string")):
-        result = fact(spark, deals, data, busy=busy)
-        assert rows(result, "touch_sequence", "touchpoint_id", "is_first_touch", "is_last_touch", "days_before_close_or_today") == [
-            (1, "t1", True, False, 150),
-            (2, "t2", False, False, 150),
-            (3, "t0", False, False, 146),
-            (4, "t3", False, True, None),
-        ]
+    result = fact(spark, deals, data)
+    assert rows(result, "touch_sequence", "touchpoint_id", "is_first_touch", "is_last_touch", "days_before_close_or_today") == [
+        (1, "t1", True, False, 150),
+        (2, "t2", False, False, 150),
+        (3, "t0", False, False, 146),
+        (4, "t3", False, True, None),
+    ]
 
 
 @pytest.mark.parametrize(

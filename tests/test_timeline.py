@@ -12,7 +12,7 @@ from adstrata.operators.timeline import (
     Lookback,
     busy_keys,
     lookback_rollup,
-    order_in_buckets,
+    order_by_ranges,
 )
 
 START = datetime(2024, 1, 1)
@@ -105,33 +105,66 @@ def test_lookback_equals_all_pairs(spark, busy_users, days):
     assert found == brute_force(probes, touches, days)
 
 
-@pytest.mark.parametrize("partitions", [3, 7])
-@pytest.mark.parametrize("busy_users", [[], ["hot"], ["hot", "u1", "u2"]])
-def test_order_in_buckets(spark, busy_users, partitions):
+@pytest.mark.parametrize("ranges", [None, 1, 3, 40])
+def test_order_by_ranges(spark, ranges):
+    """A busy user, half of whose rows have no time; ranges cut users at any place."""
     touches = [t for t in make_touches(5, hot=0.5) if t[0] is not None]
+    touches = [(*t[:1], None if t[0] == "hot" and k % 2 else t[1], *t[2:]) for k, t in enumerate(touches)]
     touches = list({(t[0], t[1], t[2]): t for t in touches}.values())
-    df = spark.createDataFrame(touches, TOUCH_SCHEMA).repartition(partitions)
-    result = order_in_buckets(
+    df = spark.createDataFrame([*touches, (None, START, "lost", "click", "a", 1.0)], TOUCH_SCHEMA).repartition(3)
+    result = order_by_ranges(
         df,
         ["user"],
-        F.unix_date(F.col("at").cast("date")).cast("bigint"),
-        [F.col("at"), F.col("id")],
-        spark.createDataFrame([(u,) for u in busy_users], "user string"),
+        [F.col("at").asc_nulls_last(), F.col("id")],
         sequence="seq",
-        totals={"touches": F.count("id")},
+        totals={"touches": F.count("id"), "spent": F.sum(F.col("cost").cast("decimal(10,2)"))},
         running={"clicks": (F.col("kind") == "click").cast("bigint")},
+        ranges=ranges,
     )
-    found = {(r.user, r.at, r.id): (r.seq, r.touches, r.clicks) for r in result.collect()}
+    assert result.columns == [*df.columns, "touches", "spent", "seq", "clicks"]
+    found = {(r.user, r.at, r.id): (r.seq, r.touches, r.clicks, float(r.spent)) for r in result.collect()}
     expected = {}
     for user in {t[0] for t in touches}:
-        own = sorted((t for t in touches if t[0] == user), key=lambda t: (t[1], t[2]))
+        own = sorted((t for t in touches if t[0] == user), key=lambda t: (t[1] is None, t[1] or START, t[2]))
+        spent = round(sum(t[5] for t in own), 2)
         clicks = 0
         for position, t in enumerate(own, 1):
             clicks += t[3] == "click"
-            expected[t[0], t[1], t[2]] = (position, len(own), clicks)
+            expected[t[0], t[1], t[2]] = (position, len(own), clicks, spent)
     assert found == expected
 
 
+def test_ranges_split_a_busy_key_evenly(spark):
+    """The windows of one key with equal times are spread over the ranges."""
+    df = spark.range(20_000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as k", "id", "timestamp'2024-01-01' as at")
+    result = order_by_ranges(df, ["k"], [F.col("at"), F.col("id")], sequence="n", ranges=16)
+    assert result.where("k = 'hot'").agg(F.max("n")).head()[0] == 6667
+    sizes = result.select(F.spark_partition_id().alias("p")).groupBy("p").count()
+    placed = df.repartitionByRange(16, "k", "at", "id").groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert placed.max() <= 2 * placed.median()
+    assert sizes.count() > 0
+
+
+def test_listed_values_join_few_stretches(spark):
+    """A busy user with many stretches: probes meet those they are in, times the levels of the index."""
+    from adstrata.operators import timeline
+
+    day = DAY_US
+    stretches = [("hot", "kinds", f"v{k}", 3 * d * day + k * HOUR_US) for d in range(100) for k in range(5)]
+    edges = spark.createDataFrame(stretches, "_key string, _dim string, _value string, _lo long").selectExpr(
+        "*", "_lo as _hi", "_lo as _bucket", "true as _opens", "true as _closes"
+    )
+    asked = spark.range(400).selectExpr("cast(id as string) as _probe", "'hot' as _key", f"id * 18 * {HOUR_US} as _us")
+    collect = Lookback(sums={}, distinct={}, edges={}, lists={"kinds": F.lit("")})
+    found = timeline._listed(edges, asked, collect, day)
+    expected = {
+        (str(p), value) for p in range(400) for _, _, value, at in stretches if at <= p * 18 * HOUR_US <= at + day
+    }
+    assert {(r["_probe"], r["_value"]) for r in found.collect()} == expected
+    near = timeline._near_stretches(edges, asked, collect, day)
+    assert len(expected) <= near.count() <= 1.5 * len(expected)
+
+
 def test_busy_keys_are_few(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 400, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     assert [r.k for r in busy_keys(df, ["k"], min_rows=10).collect()] == ["hot"]

@@ -74,6 +74,39 @@ def attr_clean_fact(i: Inputs) -> DataFrame:
     return _as_double(_fact(i))
 
 
+# The deal that gets a third of all touches in the hot query, half of them without a date.
+HOT_DEAL = "select min(opportunity_id) as opportunity_id, min_by(account_id, opportunity_id) as account_id from opportunities where close_date is null"
+HOT_TOUCHES = f"""
+select touchpoint_id, campaign_id, campaign_type, channel,
+       case when hot then deal.opportunity_id else t.opportunity_id end as opportunity_id,
+       case when hot then deal.account_id else t.account_id end as account_id,
+       case when hot and right(touchpoint_id, 1) in ('1', '3', '5', '7', '9') then null else touch_date end as touch_date
+from (select *, substring(touchpoint_id, length(touchpoint_id) - 1, 1) in ('0', '3', '6') as hot from touchpoints) t
+     left join ({HOT_DEAL}) deal on t.hot
+"""
+
+
+@query
+def attr_fact_hot(i: Inputs) -> DataFrame:
+    """One open deal owns a third of the touches, many of them without a date."""
+    deals, touches = _cleaned(i)
+    hot = i.opportunities.where("close_date is null").agg(
+        F.min("opportunity_id").alias("hot_deal"), F.min_by("account_id", "opportunity_id").alias("hot_account")
+    )
+    name = F.col("touchpoint_id")
+    is_hot = F.substring(name, -2, 1).isin("0", "3", "6")
+    touches = (
+        touches.withColumn("_one", is_hot).join(F.broadcast(hot.withColumn("_one", F.lit(True))), "_one", "left")  # one row
+        .withColumns({
+            "opportunity_id": F.when(is_hot, F.col("hot_deal")).otherwise(F.col("opportunity_id")),
+            "account_id": F.when(is_hot, F.col("hot_account")).otherwise(F.col("account_id")),
+            "touch_date": F.when(~(is_hot & F.substring(name, -1, 1).isin("1", "3", "5", "7", "9")), F.col("touch_date")),
+        }).drop("_one", "hot_deal", "hot_account")
+    )
+    fact = attribution.touchpoint_fact(deals, touches, as_of=ORDERS_AS_OF)
+    return fact.select("touchpoint_id", "opportunity_id", "touch_date", "touch_sequence", "touch_count", "is_first_touch", "is_last_touch")
+
+
 @query
 def attr_won_fact(i: Inputs) -> DataFrame:
     """Only deals that were won take part."""
@@ -301,6 +334,15 @@ CHECKS["attr_clean_fact"] = check_sql("select * exclude (raw_weight) from weight
 CHECKS["attr_won_fact"] = check_sql(
     "select touchpoint_id, opportunity_id, touch_sequence, touch_count from fact", **_WON_STEPS
 )
+CHECKS["attr_fact_hot"] = check_sql(
+    """select touchpoint_id, opportunity_id, touch_date, touch_sequence, touch_count, is_first_touch, is_last_touch
+       from positioned""",
+    hot_touches=HOT_TOUCHES,
+    clean_touches=_TOUCHES.replace("touchpoints", "hot_touches"),
+    fact_rows=_FACT_ROWS.format(touches="clean_touches", stages=""),
+    fact=_FACT,
+    positioned=_POSITIONED,
+)
 CHECKS["attr_influence"] = check_sql(
     """select touchpoint_id, opportunity_id, first_touch_influence, last_touch_influence,
               round(even_touch_influence, 6) as even_touch_influence,

@@ -72,13 +72,12 @@ def _third(event: str) -> Column:
 
 @query
 def path_running_hot(i: Inputs) -> DataFrame:
-    """One user owns a third of the events and is cut into hours."""
+    """One user owns a third of the events and is spread over ranges."""
     events = i.events_k.select("user_id", "event_id", "ts", "event_type")
     user = F.when(_third("event_id"), BUSY_USER).otherwise(F.col("user_id"))
     events = events.withColumn("user_id", user)
-    busy = busy_keys(events.select("user_id"), ["user_id"], min_rows=BUSY_ROWS)
     return paths.running_conversions(
-        events, "user_id", "ts", "event_id", F.col("event_type") == "purchase", busy=busy
+        events, "user_id", "ts", "event_id", F.col("event_type") == "purchase"
     )
 
 
