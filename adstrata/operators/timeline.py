@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adstrata.functions.scalars import MICROS, ColumnLike, as_column
 from adstrata.sources.scratch import written
@@ -65,7 +66,7 @@ def order_by_ranges(
     Rows are range-partitioned by key and order together, so a busy key is spread over several ranges
     wherever its rows lie: at one instant, or without a time at all. Windows run inside (key, range). A
     boundary cuts at most one key, so no more than two keys a range go on elsewhere; only for those do
-    totals of the ranges before arrive as one carried row per (key, range).
+    totals of the ranges before arrive, as one carried row per (key, range).
 
     ``totals`` maps a new column to an aggregate over sums and counts, ``running`` maps a new column to
     the value that is summed up to and including the current row. Rows with a null in the key belong to
@@ -81,31 +82,34 @@ def order_by_ranges(
 
     whole = F.struct(*key)
     ends = placed.groupBy("_range").agg(F.array_distinct(F.array(F.min(whole), F.max(whole))).alias("_ends"))
-    cut = (
-        ends.select("_range", F.explode("_ends").alias("_key"))
-        .groupBy("_key")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where("_n > 1")
-        .select("_key.*")
-    )
-    per_range = (
-        placed.join(F.broadcast(cut), list(key), "left_semi")
-        .groupBy(*key, "_range")
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            *[value.alias(f"_total_{name}") for name, value in totals.items()],
-            *[F.sum(value).alias(f"_sum_{name}") for name, value in running.items()],
+    # At most two keys a range reach the driver, and their totals.
+    spread: dict[tuple, int] = {}
+    for row in ends.collect():
+        for end in row["_ends"]:
+            spread[tuple(end)] = spread.get(tuple(end), 0) + 1
+    cut = [end for end, n in spread.items() if n > 1]
+    carried = None
+    if cut:
+        spark, kinds = df.sparkSession, T.StructType([df.schema[k] for k in key])
+        per_range = (
+            placed.join(F.broadcast(spark.createDataFrame(cut, kinds)), list(key), "left_semi")
+            .groupBy(*key, "_range")
+            .agg(
+                F.count(F.lit(1)).alias("_rows"),
+                *[value.alias(f"_total_{name}") for name, value in totals.items()],
+                *[F.sum(value).alias(f"_sum_{name}") for name, value in running.items()],
+            )
         )
-    )
-    of_key = Window.partitionBy(*key)
-    earlier = of_key.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_range.select(
-        *key,
-        "_range",
-        F.sum("_rows").over(earlier).alias("_rows_before"),
-        *[F.sum(f"_total_{name}").over(of_key).alias(f"_whole_{name}") for name in totals],
-        *[F.sum(f"_sum_{name}").over(earlier).alias(f"_before_{name}") for name in running],
-    )
+        of_key = Window.partitionBy(*key)
+        earlier = of_key.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        carried = per_range.select(
+            *key,
+            "_range",
+            F.sum("_rows").over(earlier).alias("_rows_before"),
+            *[F.sum(f"_total_{name}").over(of_key).alias(f"_whole_{name}") for name in totals],
+            *[F.sum(f"_sum_{name}").over(earlier).alias(f"_before_{name}") for name in running],
+        )
+        carried = spark.createDataFrame(carried.collect(), carried.schema)
 
     inside = Window.partitionBy(*key, "_range")
     ordered = inside.orderBy(*order)
@@ -115,17 +119,21 @@ def order_by_ranges(
         local["_place"] = F.row_number().over(ordered)
     for name, value in running.items():
         local[f"_run_{name}"] = F.sum(value).over(so_far)
-    zero = F.lit(0)
-    added = {name: F.coalesce(f"_whole_{name}", f"_local_{name}") for name in totals}
+    rows = placed.withColumns(local)
+    added = {name: F.col(f"_local_{name}") for name in totals}
     if sequence:
-        added[sequence] = F.coalesce("_rows_before", zero) + F.col("_place")
+        added[sequence] = F.col("_place").cast("bigint")
     for name in running:
-        added[name] = F.coalesce(f"_before_{name}", zero) + F.coalesce(f"_run_{name}", zero)
-    return (
-        placed.withColumns(local)
-        .join(F.broadcast(carried), [*key, "_range"], "left")  # at most two rows a range
-        .select(*df.columns, *[value.alias(name) for name, value in added.items()])
-    )
+        added[name] = F.coalesce(f"_run_{name}", F.lit(0))
+    if carried is not None:
+        rows = rows.join(F.broadcast(carried), [*key, "_range"], "left")
+        before = {sequence: "_rows_before"} | {name: f"_before_{name}" for name in running}
+        for name in added:
+            if name in totals:
+                added[name] = F.coalesce(F.col(f"_whole_{name}"), added[name])
+            else:
+                added[name] = F.coalesce(before[name], F.lit(0)) + added[name]
+    return rows.select(*df.columns, *[value.alias(name) for name, value in added.items()])
 
 
 @dataclass(frozen=True)
