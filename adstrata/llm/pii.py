@@ -197,12 +197,19 @@ def disclosing_terms(plain: DataFrame, docs: DataFrame, settings: Disclosure) ->
     the evidence for a pair of word and entity is of different texts, so that copies add nothing to it.
     """
     named = docs.filter(F.size("_spans") > 0).withColumn("_named", F.transform("_spans", _entity))
-    near = named.select("_digest", "_text", "_spans", "_named", F.posexplode("_named").alias("_at", "entity")).select(
-        "_digest",
-        "entity",
-        (F.array_position("_named", F.col("entity")) == F.col("_at") + 1).alias("first"),
-        _contexts(F.col("_text"), F.get("_spans", F.col("_at")), settings.reach).alias("terms"),
+    # Rows hold what stands around one entity and not the text, which may have thousands of them.
+    occurring = F.transform(
+        F.array_distinct("_named"),
+        lambda e: F.struct(e.alias("entity"), F.lit(True).alias("first"), F.array().cast("array<string>").alias("terms")),
     )
+    surrounded = F.transform(
+        "_spans",
+        lambda s: F.struct(
+            _entity(s).alias("entity"), F.lit(False).alias("first"), _contexts(F.col("_text"), s, settings.reach).alias("terms")
+        ),
+    )
+    near = computed_once(named, ["_digest"], {"_near": F.concat(occurring, surrounded)})
+    near = near.select("_digest", F.explode("_near").alias("_one")).select("_digest", "_one.*")
     near = stored(near, "pii-contexts")
     all_texts = plain.groupBy("_digest").agg(F.count("*").alias("copies"))
     n_docs, n_texts = all_texts.agg(F.coalesce(F.sum("copies"), F.lit(0)), F.count("*")).first()

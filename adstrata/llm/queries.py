@@ -97,7 +97,7 @@ failed as (
   select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
     cast(
       if(n_words < 50, 1, 0) + if(100 * n_repeat_words > 50 * n_words, 2, 0) + if(100 * n_symbols > 10 * n_words, 4, 0)
-      + if(100 * n_dup_lines > 30 * n_lines, 8, 0) + if(word_chars < 3 * n_words, 16, 0)
+      + if(n_dup_lines > 2 and 100 * n_dup_lines > 30 * n_lines, 512, 0) + if(word_chars < 3 * n_words, 16, 0)
       + if(word_chars > 10 * n_words, 32, 0) + if(100 * n_upper > 30 * word_chars, 64, 0)
       + if(100 * n_digits > 20 * word_chars, 128, 0) + if(100 * n_bangs > 30 * n_words, 256, 0)
     as bigint) as failures

@@ -146,3 +146,13 @@ def test_query(spark, folder):
         assert row.base_sha256 == hashlib.sha256(written.encode()).hexdigest()
         assert row.spans.startswith(written)
         assert [row[f"n_{k}"] for k in pii.KINDS] == [sum(s[0] == k for s in spans) for k in pii.KINDS]
+
+
+def test_a_text_with_thousands_of_entities(spark):
+    """A long mailing list: memory and time follow its length, not its square."""
+    long = "\n".join(f"name{i} <user{i}@host{i % 50}.example>" for i in range(6_000))
+    docs = spark.createDataFrame([(1, long), (2, "nothing here"), (3, None)], "doc_id long, text string")
+    found = pii.find(docs)
+    assert {r["doc_id"]: sum(s["kind"] == "email" for s in r["spans"]) for r in found.collect()} == {1: 6_000, 2: 0, 3: 0}
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(found).collect()}
+    assert clean[1].count("<email>") == 6_000 and "@" not in clean[1]
