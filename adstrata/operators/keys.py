@@ -112,7 +112,7 @@ def left_wins_join(
     lookup: DataFrame,
     left_key: str,
     right_key: str | None = None,
-    spread_by: str | None = None,
+    spread_by: ColumnLike | None = None,
 ) -> DataFrame:
     """Left join on the text form of a key; columns both sides have come from the left.
 
@@ -131,10 +131,15 @@ def left_wins_join(
 
 
 def only_known(df: DataFrame, column: str, known: DataFrame, known_column: str, other: str = "") -> DataFrame:
-    """Keep a value only where it occurs in ``known``; everything else becomes ``other``."""
+    """Keep a value only where it occurs in ``known``; everything else becomes ``other``.
+
+    Rows whose value is null or empty cannot be known. They are spread over the tasks of the join by all
+    that they hold instead of meeting in one.
+    """
+    own = spread_null_key(F.col(column).cast("string"), F.struct(*df.columns))
     ids = known.select(F.col(known_column).cast("string").alias("_known")).distinct()
     return (
-        df.join(ids, F.col(column).cast("string") == F.col("_known"), "left")
+        df.join(ids, own == F.col("_known"), "left")
         .withColumn(
             column,
             F.when(F.col("_known").isNotNull(), F.col(column).cast("string")).otherwise(F.lit(other)),

@@ -263,9 +263,10 @@ def enrich(df: DataFrame, hierarchy: Hierarchy | None, lookups: Lookups) -> Data
     """Add names for the columns that are there; on a name clash the log column stays.
 
     All lookups are left joins without a forced strategy: small tables are broadcast by their
-    size, larger ones are shuffled, rows without a key spread by their auction.
+    size, larger ones are shuffled, rows without a key spread by their auction, or by all that
+    they hold where the auction was not asked for.
     """
-    spread_by = "auction_id" if "auction_id" in df.columns else None
+    spread_by = F.col("auction_id") if "auction_id" in df.columns else F.struct(*df.columns)
     level = lowest_level(df.columns)
     if level is not None and hierarchy is not None:
         df = keys.left_wins_join(df, name_map(hierarchy, level), level, _NAME_KEYS[level], spread_by)

@@ -199,14 +199,40 @@ def windowed_distribution(
     user: str = "uniq_imp_id",
     impression: str = "has_won",
 ) -> DataFrame:
-    """Cumulative distribution per group and labelled window, for all windows at once."""
+    """Cumulative distribution per group and labelled window, for all windows at once.
+
+    The bounds of all windows cut time into panes. Impressions are added up per pane and user before
+    a row is multiplied by the windows that cover its pane.
+    """
     require_columns(df, [time, *group, user, impression])
     keyed = [*group, "window"]
-    narrow = df.select(*group, time, user, impression)
-    frequency = user_frequency(in_windows(narrow, time, windows), keyed, user, impression)
+    in_pane = df.select(*group, user, impression, _pane(time, windows).alias("_pane"))
+    by_pane = user_frequency(in_pane.where("_pane > 0"), [*group, "_pane"], user, impression)
+    frequency = user_frequency(_covering(by_pane, windows), keyed, user, "imps")
     return cumulative_distribution(frequency, keyed, thresholds)
 
 
+def _bounds(windows: Sequence[LabelledWindow]) -> list[date]:
+    return sorted({bound for w in windows for bound in (w.start, w.end)})
+
+
+def _pane(time: str, windows: Sequence[LabelledWindow]) -> Column:
+    """Number of window bounds at or before a time; 0 before all of them and for no time."""
+    passed = [(F.col(time) >= F.lit(b).cast("timestamp_ntz")).cast("int") for b in _bounds(windows)]
+    return F.coalesce(sum(passed[1:], passed[0]) if passed else F.lit(0), F.lit(0))
+
+
+def _covering(panes: DataFrame, windows: Sequence[LabelledWindow]) -> DataFrame:
+    """One row per pane row and window that covers it, marked with ``window``."""
+    if len({w.label for w in windows}) < len(windows):
+        raise ValueError("window labels must differ")
+    number = {bound: k + 1 for k, bound in enumerate(_bounds(windows))}
+    labels = [
+        F.when((F.col("_pane") >= number[w.start]) & (F.col("_pane") < number[w.end]), F.lit(w.label)) for w in windows
+    ]
+    return panes.withColumn("window", F.explode(F.array_compact(F.array(*labels)))).drop("_pane")
+
+
 def trailing_distribution(
     df: DataFrame,
     group: Sequence[str],

@@ -84,6 +84,16 @@ def audit_by_date(df: DataFrame, path: str, date_column: str = "date") -> str:
     return path
 
 
+def append_run(df: DataFrame, path: str, run: str, column: str = "run_id") -> str:
+    """Append the rows of one run, which may bring new columns; the same run again replaces its own rows.
+
+    A run that failed half-way, or is repeated, leaves no row doubled and does not touch other runs.
+    """
+    if not run:
+        raise ValueError("a run needs an id")
+    return audit_by_date(df.withColumn(column, F.lit(run)), path, column)
+
+
 def as_table(df: DataFrame, name: str, path: str | None = None) -> str:
     writer = df.write.mode("overwrite")
     (writer.option("path", path) if path else writer).saveAsTable(name)

@@ -205,3 +205,36 @@ def test_missing_keys_are_spread(spark):
     df = spark.range(10_000).select(F.lit(None).cast("string").alias("k"), "id")
     spread = df.select(keys.spread_null_key("k", "id").alias("k")).distinct().count()
     assert spread > 1000
+
+
+def test_users_get_dense_numbers_and_bitmaps_add_up(spark):
+    from adstrata.operators import reach_bitmaps
+
+    rows = [("g", f"2024-01-0{1 + k % 5}", f"u{k % 70_000}", 1) for k in range(140_000)] + [("g", None, "x", 1), ("g", "2024-01-01", None, 1)]
+    df = spark.createDataFrame(rows, "cg string, d string, uniq_imp_id string, has_won int").withColumn("d", F.col("d").cast("timestamp_ntz"))
+    days = reach_bitmaps.user_days(df, ["cg"], "d")
+    numbers = reach_bitmaps.number_users(days, ranges=5)
+    assert numbers.agg(F.min("number"), F.max("number"), F.countDistinct("number")).head() == (1, 70_000, 70_000)
+    bitmaps = reach_bitmaps.daily_bitmaps(days, numbers, ["cg"])
+    assert bitmaps.select("bucket").distinct().count() == 3
+    windows = [
+        reach.LabelledWindow(date(2024, 1, 1), date(2024, 1, 2), "day"),
+        reach.LabelledWindow(date(2024, 1, 1), date(2024, 1, 4), "three"),
+        reach.LabelledWindow(date(2023, 1, 1), date(2023, 1, 4), "none"),
+    ]
+    found = {r["window"]: (r["reach"], r["impressions"]) for r in reach_bitmaps.reach_of_windows(bitmaps, ["cg"], windows).collect()}
+    exact = lambda days: len({u for _, d, u, _ in rows if u and d and int(d[-1]) in days})
+    assert found == {"day": (exact({1}), 28_000), "three": (exact({1, 2, 3}), 84_000)}
+
+
+def test_panes_of_overlapping_windows(spark):
+    rows = [("g", "n", f"u{k % 7}", 1, f"2024-01-{1 + k % 20:02d}") for k in range(200)] + [("g", "n", "u1", 1, None)]
+    df = spark.createDataFrame(rows, "cg string, name string, uniq_imp_id string, has_won int, d string").withColumn("d", F.col("d").cast("timestamp_ntz"))
+    windows = [
+        reach.LabelledWindow(date(2024, 1, 3), date(2024, 1, 12), "a"),
+        reach.LabelledWindow(date(2024, 1, 5), date(2024, 1, 7), "b"),
+        reach.LabelledWindow(date(2024, 1, 10), date(2024, 2, 1), "c"),
+    ]
+    found = {r["window"]: (r["reach"], r["impressions"]) for r in reach.windowed_distribution(df, ["cg"], "d", windows, [1, 2]).collect()}
+    held = lambda a, b: [r for r in rows if r[4] and a <= int(r[4][-2:]) < b]
+    assert found == {w: (len({r[2] for r in held(*x)}), len(held(*x))) for w, x in {"a": (3, 12), "b": (5, 7), "c": (10, 32)}.items()}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adstrata.functions.times import local_trunc
-from adstrata.operators import reach
+from adstrata.operators import reach, reach_bitmaps
 from workload.views import Inputs, check_sql
 
 QUERIES = {}
@@ -88,6 +88,14 @@ def reach_windows(i: Inputs) -> DataFrame:
     return reach.windowed_distribution(_won(i), GROUP, "local_date", WINDOWS)
 
 
+@query
+def reach_bitmap(i: Inputs) -> DataFrame:
+    """Exact reach of all windows from daily bitmaps of users."""
+    days = reach_bitmaps.user_days(_won(i), GROUP, "local_date")
+    bitmaps = reach_bitmaps.daily_bitmaps(days, reach_bitmaps.number_users(days), GROUP)
+    return reach_bitmaps.reach_of_windows(bitmaps, GROUP, WINDOWS)
+
+
 @query
 def reach_trailing(i: Inputs) -> DataFrame:
     return reach.trailing_distribution(_won(i), GROUP, "local_date", days=14, thresholds=range(1, 6))
@@ -178,6 +186,15 @@ select cg_id, cg_name, label as "window", uniq_imp_id, sum(has_won) as imps
 from won join windows on local_date >= s and local_date < e where cg_name is not null group by all
 """,
 )
+CHECKS["reach_bitmap"] = check_sql(
+    """select cg_id, cg_name, label as "window", count(distinct uniq_imp_id) as reach,
+              cast(sum(has_won) as bigint) as impressions
+       from won join windows on local_date >= s and local_date < e
+       where cg_name is not null and uniq_imp_id is not null group by all""",
+    log=_LOG,
+    won=_WON,
+    windows=_WINDOW_ROWS,
+)
 CHECKS["reach_trailing"] = check_sql(
     f"select cg_id, cg_name, {_BASE}, {_plus(range(1, 6))} from freq group by cg_id, cg_name",
     log=_LOG,

@@ -93,6 +93,17 @@ def store_evolving(i: Inputs) -> DataFrame:
     return writers.read_evolving(i.spark, path)
 
 
+@query
+def store_append_twice(i: Inputs) -> DataFrame:
+    """Three runs, the second one repeated with a new column: no row is doubled."""
+    path = _folder(i)
+    events = i.events_k.select("event_id", "user_id", "event_type")
+    for run, kind in (("r1", "view"), ("r2", "click"), ("r3", "purchase"), ("r2", "click")):
+        rows = events.where(F.col("event_type") == kind)
+        writers.append_run(rows if run == "r3" else rows.drop("event_type"), path, run)
+    return writers.read_evolving(i.spark, path).select("event_id", "user_id", "event_type", "run_id")
+
+
 @query
 def store_audit(i: Inputs) -> DataFrame:
     """All dates, then one date again: the rerun replaces that date only."""
@@ -196,6 +207,11 @@ CHECKS["store_nested_graph"] = check_sql("select luid, duid from identity_edges"
 CHECKS["store_evolving"] = check_sql(
     "select event_id, user_id, nullif(event_type, 'view') as event_type from events_k"
 )
+CHECKS["store_append_twice"] = check_sql(
+    """select event_id, user_id, case when event_type = 'purchase' then event_type end as event_type,
+              case event_type when 'view' then 'r1' when 'click' then 'r2' else 'r3' end as run_id
+       from events_k where event_type in ('view', 'click', 'purchase')"""
+)
 CHECKS["store_audit"] = check_sql(
     "select date, cluster, advertiser_id, rs_imps, automation_flag from comparison", **RECON_STEPS
 )
