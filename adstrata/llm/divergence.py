@@ -27,10 +27,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SCALE = 1_000_000_000
 # A task hands its counts on when it holds so many chunks, bytes of them, or pairs of chunk and group;
 # so many pairs of chunk and document are summed up at a time.
-MOST_CHUNKS, MOST_BYTES, MOST_SUMS, MOST_PAIRS = 700_000, 64_000_000, 2_000_000, 1_500_000
+MOST_CHUNKS, MOST_BYTES, MOST_SUMS, MOST_PAIRS = 400_000, 32_000_000, 1_200_000, 800_000
 # Bits of the filter for chunks that have to be looked up; it bounds what is broadcast, not what is found.
 FILTER_BITS, FILTER_WORD = 1 << 27, 1 << 15
-BATCH_ROWS = 50_000
+BATCH_ROWS = 20_000
 # Sources are compared in tiles of so many by so many.
 TILE = 256
 MOST_TILES = 64
@@ -122,6 +122,7 @@ def count_chunks(docs: DataFrame) -> DataFrame:
                 if counts.full():
                     yield from counts.batches()
                     counts.clear()
+                    give_back()
         yield from counts.batches()
         counts.clear()
         give_back()
