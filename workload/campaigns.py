@@ -211,6 +211,7 @@ CHECKS["campaign_pacing"] = check_sql(
 CHECKS["campaign_conversion_summary"] = check_sql(
     "select * from conversion_days", **path_steps(60), conversion_days=_CONVERSION_DAYS
 )
+# Labels for missing names, points per flag, notes and their order.
 CHECKS["campaign_quality"] = check_sql(
     """select * replace (coalesce(campaign_name, 'Unknown Campaign') as campaign_name,
                          coalesce(account_id, 'No Account') as account_id, coalesce(channel, 'Unknown') as channel,

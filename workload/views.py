@@ -1,7 +1,8 @@
 """Views that derive the inputs of the operators from the given tables.
 
 The SQL runs unchanged on Spark and DuckDB: queries build DataFrames from it, the check SQL
-gets it as common table expressions. Every view reads whole tables.
+gets it as common table expressions. Every view reads whole tables. Names of views and columns are
+fixed values: they are what the operators' inputs are called.
 """
 
 from __future__ import annotations
