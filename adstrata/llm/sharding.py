@@ -1,8 +1,8 @@
 """Sharding by sampled splitters: shards of near equal bytes.
 
 A sample drawn in proportion to size gives splitters at its quantiles, which cut the keys into many
-more ranges than shards. Ranges that turn out overfull, because one key holds much, are subdivided by
-a digest of the record. Running sizes inside each piece and the exact totals of the pieces before it
+more ranges than shards. Ranges that turn out overfull in bytes or in records, because one key holds
+much, are subdivided by a digest of the record, as are all ranges of a table with very many records. Running sizes inside each piece and the exact totals of the pieces before it
 place every record on one line of bytes; a shard is an equal stretch of that line.
 """
 
@@ -18,6 +18,8 @@ RANGES_PER_SHARD = 8
 SAMPLES_PER_RANGE = 12
 # A range above this many times the mean is subdivided.
 OVERFULL = 2
+# Records that one task should order at most.
+PIECE_ROWS = 1_000_000
 
 TEMPORARY = ["_size", "_key", "_record", "_range", "_piece", "_before", "_total", "_pieces", "_upto", "_row", "_rows_before"]
 
@@ -68,9 +70,14 @@ def assign_shards(
     n_ranges = n_shards * RANGES_PER_SHARD
     rows = rows.withColumn("_range", _range_of(F.col("_key"), _splitters(rows, n_ranges, seed)))
 
-    totals = rows.groupBy("_range").agg(F.sum("_size").alias("_total"))
-    mean = F.sum("_total").over(Window.partitionBy()) / n_ranges
-    pieces = F.when(F.col("_total") > OVERFULL * mean, F.ceil(F.col("_total") / mean)).otherwise(1)
+    totals = rows.groupBy("_range").agg(F.sum("_size").alias("_total"), F.count("*").alias("_n"))
+
+    def times(column: str) -> Column:
+        """How many pieces a range needs for its share of the column."""
+        mean = F.sum(column).over(Window.partitionBy()) / n_ranges
+        return F.when(F.col(column) > OVERFULL * mean, F.ceil(F.col(column) / mean)).otherwise(1)
+
+    pieces = F.greatest(times("_total"), times("_n"), F.ceil(F.col("_n") / PIECE_ROWS))
     # As many rows as ranges.
     overfull = totals.select("_range", pieces.cast("long").alias("_pieces")).filter("_pieces > 1")
     number = F.pmod(F.xxhash64("_record", "_key", F.lit(~seed)), F.col("_pieces"))

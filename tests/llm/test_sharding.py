@@ -41,6 +41,19 @@ def test_nulls_repeated_rows_and_clashing_columns(spark):
     assert all(len(r.s) == r.n == r.m + 1 for r in by_shard.collect())
 
 
+def test_a_third_without_text_is_spread(spark, monkeypatch):
+    """Small records of one key are split by their number, though they hold few bytes."""
+    rows = [(i, None if i < 1_000 else i, 8 if i < 1_000 else 3_000) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "doc_id long, k long, size long").repartition(4)
+    tables = {}
+    plain = sharding.stored
+    monkeypatch.setattr(sharding, "stored", lambda df, name: tables.setdefault(name, plain(df, name)))
+    found = sharding.assign_shards(df, 5, F.col("size"), F.col("k"), F.col("doc_id")).collect()
+    check(found, 5, [r[2] for r in rows])
+    pieces = tables["shard-of"].groupBy("_range", "_piece").count().agg(F.max("count"))
+    assert pieces.first()[0] <= 2.5 * sharding.OVERFULL * 3_000 / (5 * sharding.RANGES_PER_SHARD)
+
+
 def test_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, k long, size long")
     assert sharding.assign_shards(df, 4, F.col("size"), F.col("k"), F.col("doc_id")).collect() == []
