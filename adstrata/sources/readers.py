@@ -107,9 +107,20 @@ def single_file(spark: SparkSession, folder: str, suffix: str) -> str:
     return f"{folder.rstrip('/')}/{found[0]}"
 
 
-def has_output(spark: SparkSession, folder: str, suffix: str = ".csv") -> bool:
-    """Whether the folder itself holds a delivered file (subfolders do not count).
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def has_output(spark: SparkSession, folder: str, suffix: str = ".csv", besides: str | None = None) -> bool:
+    """Whether the folder itself holds a finished delivery (what is in subfolders does not count).
 
-    A delivery written by Spark is a folder with that ending, which counts too.
+    A delivery is a file with that ending, or a folder with it in which Spark has marked its job as
+    done: what a failed run has left is no delivery. ``besides`` names one that does not count.
     """
-    return any(name.endswith(suffix) for name in _children(spark, folder))
+    for name in _children(spark, folder):
+        if name.endswith(suffix) and name != besides:
+            inside = _children(spark, f"{folder.rstrip('/')}/{name}")
+            if inside == [name] or "_SUCCESS" in inside:  # listing a file gives the file itself
+                return True
+    return False

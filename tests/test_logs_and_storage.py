@@ -8,6 +8,7 @@ from adstrata import session
 from adstrata.functions import privacy, times
 from adstrata.functions.log_columns import METRICS
 from adstrata.operators import logextract as lx
+from adstrata.plans import delivery
 from adstrata.sources import readers, writers
 
 
@@ -196,6 +197,26 @@ def test_output_is_found_at_its_own_level(spark, tmp_path):
     assert not readers.has_output(spark, str(tmp_path / "absent"))
     (tmp_path / "x.csv").write_text("x")
     assert readers.has_output(spark, str(tmp_path))
+    assert not readers.has_output(spark, str(tmp_path), besides="x.csv")
+
+
+def test_due_run_follows_the_folder(spark, tmp_path):
+    """A sample first; a failed first run, and the same day again, leave the initial window open."""
+    folder, start, first, second = tmp_path / "client", date(2024, 1, 1), date(2024, 3, 5), date(2024, 3, 6)
+
+    def due(day, repull=False):
+        run = delivery.due_run(spark, str(folder), day, start, repull)
+        return run.sample, run.start, run.target.rsplit("/", 1)[1]
+
+    assert due(first) == (True, datetime(2024, 1, 1), "sample")
+    (folder / "sample").mkdir(parents=True)
+    assert due(first) == (False, datetime(2024, 1, 1), "report_20240305.csv")
+    (folder / "report_20240305.csv").mkdir()  # a run that was lost before it ended
+    assert due(second)[1] == datetime(2024, 1, 1)
+    (folder / "report_20240305.csv" / "_SUCCESS").write_text("")
+    assert due(first)[1] == datetime(2024, 1, 1)
+    assert due(second) == (False, datetime(2024, 3, 5), "report_20240306.csv")
+    assert due(second, repull=True)[1] == datetime(2024, 1, 1)
 
 
 def test_latest_snapshot_compares_numbers(spark, tmp_path):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -10,7 +12,9 @@ from pyspark.sql import functions as F
 from adstrata.functions.privacy import PrivacyRules, censor
 from adstrata.functions.times import local_trunc, pull_window, time_text, to_local
 from adstrata.operators import identity, keys, logextract
-from adstrata.plans import reports
+from adstrata.plans import delivery, reports
+from adstrata.session import shared_folder
+from adstrata.sources import readers
 from workload.views import Inputs, check_sql
 
 QUERIES = {}
@@ -167,6 +171,24 @@ def lld_pull_daily(i: Inputs) -> DataFrame:
     return _pulled(i, output_exists=True)
 
 
+@query
+def lld_pull_from_output(i: Inputs) -> DataFrame:
+    """Three runs into one folder, the last one repeated: a sample, everything so far, then one day."""
+    folder = f"{shared_folder(i.spark)}/client-{uuid.uuid4().hex}"
+    request = _request(columns=PULL_COLUMNS)
+    days = {"sample": date(2024, 1, 10), "initial": date(2024, 1, 10), "daily": date(2024, 1, 11), "again": date(2024, 1, 11)}
+    runs = {
+        name: delivery.deliver_due(i.event_log, request, folder, day, date(2024, 1, 3)).target
+        for name, day in days.items()
+    }
+    schema = "auction_id string, request_time string, has_won double"
+    targets = {target: name for name, target in reversed(runs.items())}
+    parts = [
+        readers.delimited(i.spark, target, schema).withColumn("run", F.lit(name)) for target, name in targets.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 @query
 def lld_filter(i: Inputs) -> DataFrame:
     """Delivered events of two sub-advertisers in a local week."""
@@ -403,6 +425,15 @@ for _name, _first in (("lld_pull_initial", "2024-01-03"), ("lld_pull_daily", "20
             where {_LOCAL} >= timestamp '{_first}' and {_LOCAL} < timestamp '2024-01-10'""",
         late=_LATE,
     )
+_RUN = f"""select auction_id, strftime({_LOCAL}, '%Y-%m-%d %H:%M:%S') as request_time,
+       cast(has_won as double) as has_won, '{{run}}' as run
+from event_log where {_LOCAL} >= timestamp '{{first}}' and {_LOCAL} < timestamp '{{end}}'"""
+CHECKS["lld_pull_from_output"] = check_sql(
+    f"""(select * from ({_RUN.format(run="sample", first="2024-01-03", end="2024-01-10")})
+         order by request_time, auction_id limit 20)
+        union all {_RUN.format(run="initial", first="2024-01-03", end="2024-01-10")}
+        union all {_RUN.format(run="daily", first="2024-01-10", end="2024-01-11")}"""
+)
 CHECKS["lld_filter"] = check_sql(
     f"""select auction_id, sub_advertiser_id, cast(has_won as double) as has_won, cast(has_click as double) as has_click,
                cast(has_conv as double) as has_conv
