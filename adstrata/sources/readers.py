@@ -78,6 +78,11 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(hadoop)]
 
 
+def run_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders that runs have left below ``folder``, unfinished ones included."""
+    return sorted(_children(spark, folder))
+
+
 def latest_snapshot_path(spark: SparkSession, root: str) -> str:
     """Folder of the newest snapshot below ``year=/month=/day=/hour=``.
 
