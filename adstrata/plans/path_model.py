@@ -68,7 +68,8 @@ def update(
     ``log`` are all events with a partition column ``event_date``; only days within a lookback of what
     changes are read. Run ids sort in the order of the runs. A run may add events of any day, but not
     take any away, and campaigns are those of the run: after such changes name all days. A run that
-    failed, or is repeated, gives the same model, because ``firsts`` follow after the paths.
+    failed has to be repeated before the next one; that gives the same model, because ``firsts`` follow
+    after the paths.
     """
     spark, root = log.sparkSession, root.rstrip("/")
     changed = sorted(set(changed))
