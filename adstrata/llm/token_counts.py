@@ -3,12 +3,18 @@
 Two deterministic transducers stand behind each other. The *splitter* reads characters by class and
 marks where pieces begin: its few states say what kind of piece is open, and a transition may mark
 its own character or the one before, which settles what the pattern decides by looking ahead. The
-*counter* has one arc for each piece, annotated with the number of tokens the merges leave of it; an
-arc is compiled when a piece is first met.
+*counter* reads the characters themselves. Its states are the beginnings of pieces, its transitions
+lead from one to the next by a character, and the transition that a new piece takes out of a state is
+annotated with the number of tokens the merges leave of the piece that ends there. Transitions are
+compiled when they are first needed; merge rounds run only for annotations that are not there yet.
 
-The characters of many documents form one string, cut into chunks of equal length. Each chunk's map
+The characters of many documents form one string, cut into chunks of equal length. The splitter's map
 from every entry state to its exit state is computed for all chunks side by side; a parallel prefix
 scan composes the maps, which gives each chunk its true entry state. A second run emits the marks.
+The counter's map of a chunk is constant from the chunk's first mark on, since a piece begins anew
+there: all chunks run from their first marks side by side, which gives exit states, and then the
+characters before the first marks run from the exit states of the chunks before. The emitted counts
+are composed by a prefix sum and read off at the ends of documents.
 """
 
 from __future__ import annotations
@@ -27,6 +33,11 @@ CHUNK = 2048
 # Steps after which entry states are tried for having met in one state.
 MEET = 48
 END_MARK = "\ud800"  # no valid text holds it
+# A longer piece is one transition of its own, annotated each time it is met: its beginnings get no states.
+LONGEST = 256
+# States of the counter in a worker's table; a table that has more is emptied before the next slice.
+STATES = 2_000_000
+START = 0
 
 # Classes of characters. The letters that can stand in a contraction have classes of their own.
 END, LETTER, DIGIT, OTHER, QUOTE, BLANK, WHITE, STMD, R, V, L, E = range(12)
@@ -132,24 +143,133 @@ def piece_begins(kinds: np.ndarray, following: np.ndarray, marks: np.ndarray) ->
     return begins[: len(kinds)]
 
 
+class Transitions:
+    """The counter's compiled transitions: a hash table from (state, character) to the next state."""
+
+    def __init__(self):
+        self.n, self.slots = 1, 0
+        self.tokens = np.zeros(1 << 16, np.int32)  # annotation of a state's leaving transition; 0: none yet
+        self._resize(1 << 17)
+
+    def _resize(self, slots: int) -> None:
+        old = np.flatnonzero(self.keys >= 0) if self.slots else np.empty(0, np.int64)
+        keys, states = (self.keys[old], self.states[old]) if self.slots else (old, old)
+        self.slots, self.shift = slots, np.uint64(64 - (slots.bit_length() - 1))
+        self.keys, self.states = np.full(slots, -1, np.int64), np.zeros(slots, np.int32)
+        self._insert(keys, states)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def _insert(self, keys: np.ndarray, states: np.ndarray) -> None:
+        """Store distinct keys that are not in the table."""
+        slot = self._slot(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys[slot] < 0)
+            taken, first = np.unique(slot[free], return_index=True)
+            self.keys[taken], self.states[taken] = keys[free[first]], states[free[first]]
+            rest = np.ones(len(keys), bool)
+            rest[free[first]] = False
+            keys, states, slot = keys[rest], states[rest], (slot[rest] + 1) & (self.slots - 1)
+
+    def follow(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Next states; transitions that are not there yet are compiled."""
+        keys = state.astype(np.int64) << 21 | codes
+        slot = self._slot(keys)
+        held = self.keys[slot]
+        following = self.states[slot]
+        look = np.flatnonzero(held != keys)
+        missing = []
+        while len(look):
+            empty = self.keys[slot[look]] < 0
+            missing.append(look[empty])
+            look = look[~empty]
+            slot[look] = (slot[look] + 1) & (self.slots - 1)
+            hit = self.keys[slot[look]] == keys[look]
+            following[look[hit]] = self.states[slot[look[hit]]]
+            look = look[~hit]
+        absent = np.concatenate(missing) if missing else look
+        if len(absent):
+            fresh, which = np.unique(keys[absent], return_inverse=True)
+            made = np.arange(self.n, self.n + len(fresh), dtype=np.int32)
+            following[absent] = made[which]
+            self.n += len(fresh)
+            while self.n > len(self.tokens):
+                self.tokens = np.append(self.tokens, np.zeros_like(self.tokens))
+            if 2 * self.n > self.slots:
+                self._resize(4 * self.slots)
+            self._insert(fresh, made)
+        return following
+
+
+def states_after(codes: np.ndarray, begins: np.ndarray, skipped: np.ndarray, table: Transitions) -> np.ndarray:
+    """The counter's state after each character; it stays at the start on skipped ones."""
+    n = -(-len(codes) // CHUNK)
+    padded = [np.full(n * CHUNK, fill, kind) for fill, kind in ((0, np.uint32), (False, bool), (True, bool))]
+    for whole, given in zip(padded, (codes, begins, skipped), strict=True):
+        whole[: len(given)] = given
+    codes, begins, skipped = (np.ascontiguousarray(x.reshape(n, CHUNK).T) for x in padded)
+    after = np.zeros((CHUNK, n), np.int32)
+    opened = begins.any(axis=0)
+    first = np.where(opened, begins.argmax(axis=0), CHUNK)
+    # From the first marks on: the same whatever state a chunk is entered in.
+    state = np.full(n, START, np.int32)
+    for step in range(CHUNK):
+        state[begins[step]] = START
+        run = np.flatnonzero((first <= step) & ~skipped[step])
+        state[run] = table.follow(state[run], codes[step, run])
+        after[step] = state
+    # Before the first marks: entered in the state that the chunk before is left in.
+    left = opened | skipped[0]
+    waiting = np.flatnonzero((first > 0) & ~skipped[0])
+    while len(waiting):
+        ready = waiting[left[waiting - 1]]
+        state = after[-1, ready - 1]
+        for step in range(first[ready].max()):
+            run = np.flatnonzero((first[ready] > step) & ~skipped[step, ready])
+            state[run] = table.follow(state[run], codes[step, ready[run]])
+            after[step, ready[run]] = state[run]
+        left[ready] = True
+        waiting = waiting[~np.isin(waiting, ready)]
+    return after.T.ravel()
+
+
 class Counter:
-    """Counts tokens with a worker's table of compiled arcs."""
+    """Counts tokens with a worker's table of compiled transitions."""
 
     def __init__(self, tables: dict):
         self.tables = tables
         special = sorted(tables["special"], key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
-        self.known, self.tokens = vocab.Known(), np.empty(0, np.int64)
-
-    def of_pieces(self, pieces: list[str]) -> np.ndarray:
-        if len(self.known) > vocab.KNOWN_WORDS:
-            self.known, self.tokens = vocab.Known(), np.empty(0, np.int64)
-        found = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        fresh, self.known.fresh = self.known.fresh, []
-        if fresh:
-            _, sizes = bpe.encode_words([p.encode() for p in fresh], {}, self.tables)
-            self.tokens = np.append(self.tokens, sizes)
-        return self.tokens[found]
+        self.compiled = Transitions()
+
+    def merged(self, text: str, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Tokens that the merges leave of each piece, in rounds over slices of pieces."""
+        tokens = np.empty(len(begins), np.int64)
+        for a, b in slices((ends - begins).tolist()):
+            pieces = [text[x:y].encode() for x, y in zip(begins[a:b].tolist(), ends[a:b].tolist(), strict=True)]
+            tokens[a:b] = bpe.encode_words(pieces, {}, self.tables)[1]
+        return tokens
+
+    def emitted(self, text: str, codes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Tokens that the transducer emits at the end of each piece."""
+        if self.compiled.n > STATES:
+            self.compiled = Transitions()
+        long = ends - begins > LONGEST
+        marks, edges = np.zeros(len(codes), bool), np.zeros(len(codes) + 1, np.int8)
+        marks[begins] = True
+        # Skipped are characters of long pieces, and those of no piece (the marks between sections).
+        edges[begins[~long]] += 1
+        edges[ends[~long]] -= 1
+        after = states_after(codes, marks, np.cumsum(edges[:-1], dtype=np.int8) == 0, self.compiled)
+        last = after[ends - 1]
+        fresh = np.flatnonzero((self.compiled.tokens[last] == 0) & ~long)
+        states, where = np.unique(last[fresh], return_index=True)
+        fresh = fresh[where]
+        self.compiled.tokens[states] = self.merged(text, begins[fresh], ends[fresh])
+        tokens = self.compiled.tokens[last].astype(np.int64)
+        tokens[long] = self.merged(text, begins[long], ends[long])
+        return tokens
 
     def count(self, texts: list[str | None]) -> np.ndarray:
         totals = np.zeros(len(texts), np.int64)
@@ -172,10 +292,11 @@ class Counter:
             real = kinds[begins] != END
             section = (np.cumsum(~real))[real]
             begins, ends = begins[real], ends[real]
-            for i in range(0, len(begins), 1_000_000):
-                some = zip(begins[i : i + 1_000_000].tolist(), ends[i : i + 1_000_000].tolist(), strict=True)
-                tokens = self.of_pieces([joined[x:y] for x, y in some])
-                np.add.at(totals, np.array(owner)[section[i : i + 1_000_000]], tokens)
+            if not len(begins):
+                continue
+            composed = np.append(0, np.cumsum(self.emitted(joined, codes, begins, ends)))
+            until = np.searchsorted(section, np.arange(len(parts)), side="right")
+            np.add.at(totals, owner, np.diff(composed[np.append(0, until)]))
         return totals
 
 

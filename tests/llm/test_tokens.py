@@ -97,6 +97,52 @@ def test_chunks_compose_wherever_they_are_cut(monkeypatch):
         assert token_counts.Counter(tables).count(texts).tolist() == expected
 
 
+@pytest.fixture(scope="module")
+def byte_tables():
+    tables = vocab.load(BYTES) | {"classes": token_counts.character_classes(BYTES)}
+    tables["following"], tables["marks"] = token_counts.splitter()
+    return tables
+
+
+def test_every_code_point_is_counted_as_the_library_does(byte_tables):
+    texts = [f"a{chr(c)}b {chr(c)}1{chr(c)}{chr(c)}" for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    expected = [len(e.ids) for e in Tokenizer.from_file(BYTES).encode_batch(texts, add_special_tokens=False)]
+    assert token_counts.Counter(byte_tables).count(texts).tolist() == expected
+
+
+def test_transitions_hold_counts_and_merges_run_only_for_new_ones(byte_tables, monkeypatch):
+    counter = token_counts.Counter(byte_tables)
+    texts = ["unbelievable unbelief, unbelievably", "unbelievable", "x" * 5_000 + " y"]
+    expected = [len(ids_of(Tokenizer.from_file(BYTES), t)) for t in texts]
+    assert counter.count(texts).tolist() == expected
+    states, merged = counter.compiled.n, []
+    real = counter.merged
+    monkeypatch.setattr(counter, "merged", lambda text, b, e: merged.extend((e - b).tolist()) or real(text, b, e))
+    assert counter.count(texts).tolist() == expected
+    assert counter.compiled.n == states and merged == [5_000]  # only the piece that has no states
+
+
+@pytest.mark.parametrize("longest", [1, 2, 5, 40])
+def test_table_is_emptied_and_long_pieces_are_left_out(byte_tables, nasty_texts, monkeypatch, longest):
+    monkeypatch.setattr(token_counts, "LONGEST", longest)
+    monkeypatch.setattr(token_counts, "STATES", 50)
+    monkeypatch.setattr(token_counts, "CHUNK", 7)
+    counter, tokenizer = token_counts.Counter(byte_tables), Tokenizer.from_file(BYTES)
+    texts = [t and t[:20_000] for t in nasty_texts]
+    for _ in range(2):
+        assert counter.count(texts).tolist() == [len(ids_of(tokenizer, t)) for t in texts]
+
+
+def test_transitions_of_a_growing_table_stay():
+    rnd = np.random.default_rng(3)
+    table, known = token_counts.Transitions(), {}
+    for _ in range(40):
+        state, codes = rnd.integers(0, 3_000, 9_000).astype(np.int32), rnd.integers(0, 90, 9_000).astype(np.uint32)
+        for key, found in zip(zip(state, codes, strict=True), table.follow(state, codes), strict=True):
+            assert known.setdefault(key, found) == found
+    assert table.n == len(known) + 1 == len(set(known.values())) + 1 and table.slots > 1 << 17
+
+
 def test_store_round_trip(spark, nasty, words, tmp_path):
     out = str(tmp_path / "store")
     token_store.write_store(nasty, out, WORDS)
