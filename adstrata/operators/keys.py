@@ -8,6 +8,7 @@ threshold, and adaptive execution splits hot partitions of a sort-merge join.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -107,18 +108,62 @@ def spread_null_key(column: ColumnLike, spread_by: ColumnLike, buckets: int = 10
     return F.when(column.isNull() | (column == ""), filler).otherwise(column)
 
 
+def heavy_keys(df: DataFrame, columns: Sequence[str], share: float = 0.001, pieces: int = 32) -> dict[str, DataFrame]:
+    """Keys that hold at least ``share`` of all rows, for each column, with the ``salts`` to deal them over.
+
+    One pass over the columns alone: each task sketches its frequent values, the sketches are merged.
+    A key gets ``pieces`` salts for each mean task that its rows would fill. At most 1 / ``share`` keys a column
+    come to the driver; blank keys do not count. A count that the sketch has slightly wrong changes the
+    balance of a join, never its result.
+    """
+    most = int(1 / share)
+    own = {f"k{n}": F.col(c).cast("string") for n, c in enumerate(columns)}
+    if not own:
+        return {}
+    row = df.select(*[value.alias(k) for k, value in own.items()]).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.expr(f"approx_top_k({k}, {most}, {10 * most}) filter (where {k} <> '')").alias(k) for k in own],
+    ).first()
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = {}
+    for k, column in zip(own, columns, strict=True):
+        heavy = [
+            (item, math.ceil(pieces * tasks * count / row.n))
+            for item, count in row[k] or []
+            if count >= share * row.n
+        ]
+        if heavy:
+            found[column] = df.sparkSession.createDataFrame(heavy, "_heavy string, _salts int")
+    return found
+
+
+def _salted(df: DataFrame, lookup: DataFrame, own: Column, key: str, heavy: DataFrame | None, spread_by: ColumnLike) -> DataFrame:
+    """Left join of ``own`` with the column ``key``; rows of heavy keys are dealt over copies of their lookup rows."""
+    if heavy is None:
+        return df.join(lookup, own == F.col(key), "left").drop(key)
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
+    # The table of heavy keys is bounded by the share that makes a key heavy.
+    dealt = df.withColumn("_own", own).join(F.broadcast(heavy), F.col("_own") == F.col("_heavy"), "left")
+    dealt = dealt.withColumn("_salt", F.pmod(F.xxhash64(as_column(spread_by)), salts).cast("int")).drop("_heavy", "_salts")
+    copies = lookup.join(F.broadcast(heavy), F.col(key) == F.col("_heavy"), "left")
+    copies = copies.withColumn("_copy", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_heavy", "_salts")
+    same = (F.col("_own") == F.col(key)) & (F.col("_salt") == F.col("_copy"))
+    return dealt.join(copies, same, "left").drop(key, "_own", "_salt", "_copy")
+
+
 def left_wins_join(
     df: DataFrame,
     lookup: DataFrame,
     left_key: str,
     right_key: str | None = None,
     spread_by: ColumnLike | None = None,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Left join on the text form of a key; columns both sides have come from the left.
 
     The lookup keeps its key column when that has another name. Rows without a key match nothing;
     with ``spread_by``, a column that differs among them, a shuffled join does not gather them in
-    one task.
+    one task. ``heavy``, one of ``heavy_keys``, does the same for rows of frequent keys.
     """
     right_key = right_key or left_key
     key = "_lookup_key"
@@ -127,25 +172,24 @@ def left_wins_join(
     own = F.col(left_key).cast("string")
     if spread_by is not None:
         own = spread_null_key(own, spread_by)
-    return df.join(side, own == F.col(key), "left").drop(key)
+    if heavy is not None and spread_by is None:
+        spread_by = F.struct(*df.columns)
+    return _salted(df, side, own, key, heavy, spread_by)
 
 
-def only_known(df: DataFrame, column: str, known: DataFrame, known_column: str, other: str = "") -> DataFrame:
+def only_known(
+    df: DataFrame, column: str, known: DataFrame, known_column: str, other: str = "", heavy: DataFrame | None = None
+) -> DataFrame:
     """Keep a value only where it occurs in ``known``; everything else becomes ``other``.
 
     Rows whose value is null or empty cannot be known. They are spread over the tasks of the join by all
-    that they hold instead of meeting in one.
+    that they hold instead of meeting in one, and so are rows of the ``heavy`` keys.
     """
-    own = spread_null_key(F.col(column).cast("string"), F.struct(*df.columns))
-    ids = known.select(F.col(known_column).cast("string").alias("_known")).distinct()
-    return (
-        df.join(ids, own == F.col("_known"), "left")
-        .withColumn(
-            column,
-            F.when(F.col("_known").isNotNull(), F.col(column).cast("string")).otherwise(F.lit(other)),
-        )
-        .drop("_known")
-    )
+    whole = F.struct(*df.columns)
+    own = spread_null_key(F.col(column).cast("string"), whole)
+    ids = known.select(F.col(known_column).cast("string").alias("_id")).distinct().withColumn("_known", F.lit(True))
+    kept = F.when(F.col("_known"), F.col(column).cast("string")).otherwise(F.lit(other))
+    return _salted(df, ids, own, "_id", heavy, whole).withColumn(column, kept).drop("_known")
 
 
 def tagged_union(frames: Mapping[str, DataFrame], tag: str) -> DataFrame:

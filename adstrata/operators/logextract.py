@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -259,42 +259,55 @@ def audience_names(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def enrich(df: DataFrame, hierarchy: Hierarchy | None, lookups: Lookups) -> DataFrame:
+LOOKUP_COLUMNS = ["matched_cseg_and_rt", "dma", "conv_tracker_id", "network_id", "deal_id"]
+
+
+def heavy_lookup_keys(df: DataFrame) -> dict[str, DataFrame]:
+    """Frequent keys of all lookups of ``enrich``, found in one pass over their columns."""
+    level = lowest_level(df.columns)
+    columns = ([level] if level else []) + [c for c in LOOKUP_COLUMNS if c in df.columns]
+    return keys.heavy_keys(df, columns)
+
+
+def enrich(
+    df: DataFrame, hierarchy: Hierarchy | None, lookups: Lookups, heavy: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
     """Add names for the columns that are there; on a name clash the log column stays.
 
     All lookups are left joins without a forced strategy: small tables are broadcast by their
     size, larger ones are shuffled, rows without a key spread by their auction, or by all that
-    they hold where the auction was not asked for.
+    they hold where the auction was not asked for. Rows of ``heavy`` keys (``heavy_lookup_keys``) are
+    dealt over copies of their few lookup rows, so that no task gets all rows of one key.
     """
+    heavy = heavy or {}
     spread_by = F.col("auction_id") if "auction_id" in df.columns else F.struct(*df.columns)
     level = lowest_level(df.columns)
     if level is not None and hierarchy is not None:
-        df = keys.left_wins_join(df, name_map(hierarchy, level), level, _NAME_KEYS[level], spread_by)
+        df = keys.left_wins_join(df, name_map(hierarchy, level), level, _NAME_KEYS[level], spread_by, heavy.get(level))
     has_segments = lookups.custom_segments is not None or lookups.rt_segments is not None
     if "matched_cseg_and_rt" in df.columns and has_segments:
         audiences = audience_names(lookups.custom_segments, lookups.rt_segments)
-        df = keys.left_wins_join(df, audiences, "matched_cseg_and_rt", spread_by=spread_by)
+        df = keys.left_wins_join(df, audiences, "matched_cseg_and_rt", None, spread_by, heavy.get("matched_cseg_and_rt"))
     if "dma" in df.columns and lookups.dma is not None:
         names = lookups.dma.select(
             F.col("DMA_Adjust").alias("dma"), F.col("DMA_Name").alias("dma_name")
         ).distinct()
-        df = keys.left_wins_join(df, names, "dma", spread_by=spread_by).withColumn("dma", F.col("dma").cast("string"))
+        df = keys.left_wins_join(df, names, "dma", None, spread_by, heavy.get("dma"))
+        df = df.withColumn("dma", F.col("dma").cast("string"))
     for column, table, source, name in (
         ("conv_tracker_id", lookups.trackers, "name", "conversion_name"),
         ("network_id", lookups.networks, "company_name", "network_name"),
     ):
         if column in df.columns and table is not None:
             names = table.select(F.col("id").alias(column), F.col(source).alias(name))
-            df = keys.left_wins_join(df, names, column, spread_by=spread_by).withColumn(
-                column, F.col(column).cast("string")
-            )
+            df = keys.left_wins_join(df, names, column, None, spread_by, heavy.get(column))
+            df = df.withColumn(column, F.col(column).cast("string"))
     if "deal_id" in df.columns and lookups.deals is not None:
         names = lookups.deals.select("deal_id", F.col("name").alias("deal_name"))
-        df = keys.left_wins_join(df, names, "deal_id", spread_by=spread_by).withColumn(
-            "deal_id", F.coalesce(F.col("deal_id").cast("string"), F.lit(""))
-        )
+        df = keys.left_wins_join(df, names, "deal_id", None, spread_by, heavy.get("deal_id"))
+        df = df.withColumn("deal_id", F.coalesce(F.col("deal_id").cast("string"), F.lit("")))
         if lookups.byod_deals is not None:
-            df = keys.only_known(df, "deal_id", lookups.byod_deals, "deal_id")
+            df = keys.only_known(df, "deal_id", lookups.byod_deals, "deal_id", heavy=heavy.get("deal_id"))
     return df
 
 
@@ -304,10 +317,20 @@ def currency_units(df: DataFrame) -> DataFrame:
 
 
 def build_report(
-    events: DataFrame, request: LogRequest, hierarchy: Hierarchy | None, lookups: Lookups
+    events: DataFrame,
+    request: LogRequest,
+    hierarchy: Hierarchy | None,
+    lookups: Lookups,
+    balance: bool = False,
 ) -> DataFrame:
-    """The client report: pull, enrich, convert, rename."""
-    report = currency_units(enrich(pull(events, request), hierarchy, lookups))
+    """The client report: pull, enrich, convert, rename.
+
+    ``balance`` looks for frequent keys first, in one more pass over the key columns, and spreads
+    their rows; worth it where lookup tables are too large to be broadcast.
+    """
+    rows = pull(events, request)
+    heavy = heavy_lookup_keys(rows) if balance else None
+    report = currency_units(enrich(rows, hierarchy, lookups, heavy))
     return apply_renames(report, request.renames)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from adstrata import session
 from adstrata.functions import privacy, times
 from adstrata.functions.log_columns import METRICS
+from adstrata.operators import keys
 from adstrata.operators import logextract as lx
 from adstrata.plans import delivery
 from adstrata.sources import readers, writers
@@ -270,3 +271,46 @@ def test_destinations(spark, tmp_path):
         writers.write_files(spark.range(1), str(tmp_path / "x"), "xml")
     (check,) = writers.verify(spark.range(3), spark.range(2)).collect()
     assert (check.rows_written, check.rows_found, check.is_complete) == (3, 2, False)
+
+
+def test_heavy_keys_are_spread(spark, rows):
+    """A third of the rows in one key, a third blank: no task of a shuffled lookup gets much more than the others."""
+    log = spark.range(60_000).select(
+        F.concat(F.lit("A"), "id").alias("auction_id"),
+        F.expr("case id % 3 when 0 then 'hot' when 1 then if(id % 2 = 0, '', null) else 'd' || id end").alias("deal_id"),
+    )
+    names = spark.range(60_000).select(F.concat(F.lit("d"), "id").alias("deal_id"), F.col("id").alias("name"))
+    names = names.union(spark.createDataFrame([("hot", -1), ("hot", -2)], names.schema))  # two rows for one key
+    heavy = keys.heavy_keys(log, ["deal_id"], share=0.01)
+    assert [(r._heavy, r._salts) for r in heavy["deal_id"].collect()] == [("hot", 43)]  # 32 pieces, 4 tasks, a third
+    plain = keys.left_wins_join(log, names, "deal_id", spread_by="auction_id")
+    dealt = keys.left_wins_join(log, names, "deal_id", spread_by="auction_id", heavy=heavy["deal_id"])
+    assert dealt.columns == plain.columns and dealt.count() == 80_000
+    assert dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
+    known = spark.createDataFrame([("hot",), ("d2",), ("d2",)], "deal_id string")
+    one = keys.only_known(log, "deal_id", known, "deal_id", heavy=heavy["deal_id"])
+    assert rows(one.groupBy("deal_id").count()) == [("", 39_999), ("d2", 1), ("hot", 20_000)]
+
+    def worst(df):
+        sizes = sorted(r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect())
+        return sizes[-1] / sizes[(len(sizes) - 1) // 2]
+
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {name: spark.conf.get(name) for name in off}
+    try:
+        for name, value in off.items():
+            spark.conf.set(name, value)
+        heavy = keys.heavy_keys(log, ["deal_id"], share=0.01)["deal_id"]
+        assert worst(keys.left_wins_join(log, names, "deal_id", spread_by="auction_id")) > 4
+        assert worst(keys.left_wins_join(log, names, "deal_id", spread_by="auction_id", heavy=heavy)) < 2
+        assert worst(keys.only_known(log, "deal_id", known, "deal_id", heavy=heavy)) < 2
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_no_heavy_keys(spark):
+    empty = spark.createDataFrame([], "deal_id string, dma int")
+    assert keys.heavy_keys(empty, ["deal_id", "dma"]) == {} and keys.heavy_keys(empty, []) == {}
+    blank = spark.createDataFrame([(None, 1), ("", 1)], "deal_id string, dma int")
+    assert list(keys.heavy_keys(blank, ["deal_id", "dma"])) == ["dma"]

@@ -120,6 +120,18 @@ def lld_report(i: Inputs) -> DataFrame:
     return logextract.build_report(i.event_log, request, _hierarchy(i), _lookups(i))
 
 
+@query
+def lld_report_hot(i: Inputs) -> DataFrame:
+    """Over the lookups of a log where one deal and creative hold a third of the rows, and blank deals another."""
+    last = F.substring("auction_id", -1, 1)
+    hot, blank = last.isin("0", "3", "6"), last.isin("1", "4", "7")
+    events = i.event_log.withColumns({
+        "deal_id": F.when(hot, F.lit("deal4")).when(blank, F.when(last == "4", F.lit(""))).otherwise(F.col("deal_id")),
+        "nativead_id": F.when(hot, F.lit(7)).otherwise(F.col("nativead_id")),
+    })
+    return logextract.build_report(events, _request(), _hierarchy(i), _lookups(i), balance=True)
+
+
 @query
 def lld_report_line_item(i: Inputs) -> DataFrame:
     """Names join on the lowest level that was asked for."""
@@ -397,6 +409,31 @@ CHECKS["lld_report"] = check_sql(
     chain=_CHAIN,
     audience=_AUDIENCE,
 )
+CHECKS["lld_report_hot"] = check_sql(
+    f"""select {_LOCAL} as request_time, cast(date_trunc('day', {_LOCAL}) as timestamp) as request_date,
+               date_trunc('hour', {_LOCAL}) as request_hour, auction_id, e.campaign_id, nativead_id,
+               e.matched_cseg_and_rt, cast(e.dma as varchar) as dma, cast(conv_tracker_id as varchar) as conv_tracker_id,
+               cast(network_id as varchar) as network_id,
+               case when e.deal_id in (select deal_id from inventory_byod_deals) then e.deal_id else '' end as deal_id,
+               cast(has_won as double) as has_won, cast(cost as double) / 1000000 as cost,
+               h.account_id, h.account_name, h.advertiser_id, h.advertiser_name, h.campaign_group_id,
+               h.campaign_group_name, h.campaign_name, h.campaign_type, h.creative_id, h.creative_name,
+               a.auid_id, a.audience, DMA_Name as dma_name, t.name as conversion_name,
+               w.company_name as network_name, p.name as deal_name
+        from hot_log e left join chain h on h.creative_id = e.nativead_id
+        left join audience a on a.matched_cseg_and_rt = e.matched_cseg_and_rt
+        left join dma_names on DMA_Adjust = e.dma left join conversion_trackers t on t.id = e.conv_tracker_id
+        left join ad_networks w on w.id = e.network_id left join programmatic_deals p on p.deal_id = e.deal_id
+        where {_IN_JANUARY}""",
+    chain=_CHAIN,
+    audience=_AUDIENCE,
+    hot_log="""
+        select * replace (
+            case when right(auction_id, 1) in ('0', '3', '6') then 'deal4' when right(auction_id, 1) = '4' then ''
+                 when right(auction_id, 1) in ('1', '7') then null else deal_id end as deal_id,
+            case when right(auction_id, 1) in ('0', '3', '6') then 7 else nativead_id end as nativead_id)
+        from event_log""",
+)
 CHECKS["lld_report_line_item"] = check_sql(
     f"""select auction_id, line_item_id, cast(has_click as double) as has_click, h.*
         from event_log left join (select distinct account_id, account_name, advertiser_id, advertiser_name,
