@@ -25,8 +25,6 @@ DAY_US = 24 * HOUR_US
 # A key with so many rows is busy, however large the table is: no task orders more rows of one key.
 BUSY_ROWS = 1_000_000
 
-WHOLE_KEY = 0
-
 # Cells of the interval index in a stretch of one lookback.
 CELLS = 8
 
@@ -38,16 +36,14 @@ def busy_keys(df: DataFrame, key: Sequence[str], min_rows: int = BUSY_ROWS) -> D
 
 
 def with_bucket(df: DataFrame, key: Sequence[str], bucket: Column, busy: DataFrame) -> DataFrame:
-    """Add ``_bucket``: the given one for busy keys, a constant for the others.
+    """Add ``_bucket``: the given one for busy keys, null for the others, which stay whole.
 
     Busy keys are broadcast where Spark finds them small; otherwise the shuffled rows of a busy key
     are split by adaptive execution.
     """
     marked = busy.select(*key, F.lit(True).alias("_busy"))
     return (
-        df.join(marked, list(key), "left")
-        .withColumn("_bucket", F.when(F.col("_busy"), bucket).otherwise(F.lit(WHOLE_KEY).cast("bigint")))
-        .drop("_busy")
+        df.join(marked, list(key), "left").withColumn("_bucket", F.when(F.col("_busy"), bucket)).drop("_busy")
     )
 
 
@@ -310,17 +306,33 @@ def _stretch_edges(touch: DataFrame, names: list[str], lookback_us: int) -> Data
     )
 
 
+def _bits(collect: Lookback) -> dict[str, int]:
+    """Places in ``_flags`` of what a point of the time axis may be, named as the columns they stand for."""
+    names = [f"at_{n}" for n in collect.edges] + [f"{way}_{n}" for n in collect.distinct for way in ("in", "out")]
+    return {name: 1 << place for place, name in enumerate(names)}
+
+
 def _points(
     touch: DataFrame, edges: DataFrame, asked: DataFrame, collect: Lookback, lookback_us: int
 ) -> DataFrame:
     """Everything that happens on a key's time axis, in reading order within one instant:
-    range begins (-1), touches (0), probes (1)."""
+    range begins (-1), touches (0), probes (1).
+
+    All points are sorted, so they stay narrow: what a point is stands in the bits of ``_flags``."""
+    bits = _bits(collect)
+
+    def flags(conditions: Mapping[str, Column]) -> Column:
+        total = F.lit(0).cast("bigint")
+        for name, condition in conditions.items():
+            total = total + F.when(condition, F.lit(bits[name])).otherwise(F.lit(0))
+        return total.alias("_flags")
+
     touched = touch.select(
         "_key",
         "_us",
         F.lit(0).alias("_side"),
         *[F.col(f"sum_{n}") for n in collect.sums],
-        *[F.when(F.col(f"edge_{n}"), F.col("_us")).alias(f"at_{n}") for n in collect.edges],
+        flags({f"at_{n}": F.col(f"edge_{n}") for n in collect.edges}),
     )
     # A value touched once in its bucket moves in and out at one point.
     alone = F.col("_lo") == F.col("_hi")
@@ -342,8 +354,9 @@ def _points(
         "_key",
         "_us",
         F.lit(0).alias("_side"),
-        *[(F.col("_in") & (F.col("_dim") == n)).cast("bigint").alias(f"in_{n}") for n in collect.distinct],
-        *[(F.col("_out") & (F.col("_dim") == n)).cast("bigint").alias(f"out_{n}") for n in collect.distinct],
+        flags(
+            {f"{way}_{n}": F.col(f"_{way}") & (F.col("_dim") == n) for n in collect.distinct for way in ("in", "out")}
+        ),
     )
     probed = asked.select(
         "_key",
@@ -363,17 +376,23 @@ def _points(
 def _readings(
     points: DataFrame, collect: Lookback, busy: DataFrame, bucket_us: int
 ) -> DataFrame:
-    """Prefix sums, prefix maxima and suffix minima at the probe points."""
+    """Prefix sums, prefix maxima and suffix minima at the probe points.
+
+    Windows run inside (key, bucket). What lies outside of a bucket is added to the readings afterwards,
+    so that the sorted points do not carry it.
+    """
+    marked = {name: F.col("_flags").bitwiseAND(F.lit(bit)) != 0 for name, bit in _bits(collect).items()}
+    at = {n: F.when(marked[f"at_{n}"], F.col("_us")) for n in collect.edges}
     summed = {
-        **{f"run_{n}": f"sum_{n}" for n in collect.sums},
-        **{f"opened_{n}": f"in_{n}" for n in collect.distinct},
-        **{f"closed_{n}": f"out_{n}" for n in collect.distinct},
+        **{f"run_{n}": F.col(f"sum_{n}") for n in collect.sums},
+        **{f"opened_{n}": F.when(marked[f"in_{n}"], 1).otherwise(0) for n in collect.distinct},
+        **{f"closed_{n}": F.when(marked[f"out_{n}"], 1).otherwise(0) for n in collect.distinct},
     }
     cut = with_bucket(points, ["_key"], _bucket_start(bucket_us), busy)
-    per_bucket = cut.groupBy("_key", "_bucket").agg(
-        *[F.coalesce(F.sum(source), F.lit(0)).alias(f"_t_{name}") for name, source in summed.items()],
-        *[F.max(f"at_{n}").alias(f"_hi_{n}") for n in collect.edges],
-        *[F.min(f"at_{n}").alias(f"_lo_{n}") for n in collect.edges],
+    per_bucket = cut.where(F.col("_bucket").isNotNull()).groupBy("_key", "_bucket").agg(
+        *[F.coalesce(F.sum(value), F.lit(0)).alias(f"_t_{name}") for name, value in summed.items()],
+        *[F.max(at[n]).alias(f"_hi_{n}") for n in collect.edges],
+        *[F.min(at[n]).alias(f"_lo_{n}") for n in collect.edges],
     )
     earlier = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     later = (
@@ -382,7 +401,7 @@ def _readings(
     carried = per_bucket.select(
         "_key",
         "_bucket",
-        *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_c_{n}") for n in summed],
+        *[F.sum(f"_t_{n}").over(earlier).alias(f"_c_{n}") for n in summed],
         *[F.max(f"_hi_{n}").over(earlier).alias(f"_c_last_{n}") for n in collect.edges],
         *[F.min(f"_lo_{n}").over(later).alias(f"_c_next_{n}") for n in collect.edges],
     )
@@ -391,27 +410,26 @@ def _readings(
     backward = inside.orderBy(F.desc("_us"), F.desc("_side")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return (
-        cut.join(carried, ["_key", "_bucket"])
-        .select(
-            "_probe",
-            "_us",
-            "_side",
-            *[
-                (F.col(f"_c_{n}") + F.coalesce(F.sum(source).over(forward), F.lit(0))).alias(n)
-                for n, source in summed.items()
-            ],
-            *[
-                F.greatest(F.col(f"_c_last_{n}"), F.max(f"at_{n}").over(forward)).alias(f"last_{n}")
-                for n in collect.edges
-            ],
-            *[
-                F.least(F.col(f"_c_next_{n}"), F.min(f"at_{n}").over(backward)).alias(f"next_{n}")
-                for n in collect.edges
-            ],
+    # Dealt by bucket here, or all buckets of a busy key would stay where its marks were looked up.
+    read = (
+        cut.repartition("_key", "_bucket")
+        .withColumns({f"next_{n}": F.min(at[n]).over(backward) for n in collect.edges})
+        .withColumns(
+            {
+                **{n: F.sum(value).over(forward) for n, value in summed.items()},
+                **{f"last_{n}": F.max(at[n]).over(forward) for n in collect.edges},
+            }
         )
         .where(F.col("_side") != 0)
     )
+    return read.join(carried, ["_key", "_bucket"], "left").select(
+        "_probe",
+        "_us",
+        "_side",
+        *[(F.coalesce(F.col(f"_c_{n}"), F.lit(0)) + F.coalesce(n, F.lit(0))).alias(n) for n in summed],
+        *[F.greatest(f"_c_last_{n}", f"last_{n}").alias(f"last_{n}") for n in collect.edges],
+        *[F.least(f"_c_next_{n}", f"next_{n}").alias(f"next_{n}") for n in collect.edges],
+    )
 
 
 def _listed(edges: DataFrame, asked: DataFrame, collect: Lookback, lookback_us: int) -> DataFrame:

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from adstrata.operators import timeline
 from adstrata.operators.timeline import (
     DAY_US,
     HOUR_US,
@@ -14,6 +15,7 @@ from adstrata.operators.timeline import (
     lookback_rollup,
     order_by_ranges,
 )
+from adstrata.session import RUNTIME_CONF
 
 START = datetime(2024, 1, 1)
 TOUCH_SCHEMA = "user string, at timestamp_ntz, id string, kind string, campaign string, cost double"
@@ -169,3 +171,24 @@ def test_busy_keys_are_few(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 400, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     assert [r.k for r in busy_keys(df, ["k"], min_rows=10).collect()] == ["hot"]
     assert busy_keys(df, ["k"]).count() == 0
+
+
+def test_sorted_points_are_narrow(spark):
+    """All points are sorted twice: whatever is collected, they hold one column of flags and one for each sum."""
+    touches = spark.createDataFrame(make_touches(5, n=50), TOUCH_SCHEMA)
+    touch = touches.select(
+        F.col("user").alias("_key"),
+        F.unix_micros(F.col("at").cast("timestamp")).alias("_us"),
+        F.lit(1).alias("sum_cost"),
+        *[F.col("campaign").alias(f"value_{n}") for n in ("a", "b", "c")],
+        (F.col("kind") == "click").alias("edge_click"),
+    )
+    collect = Lookback(sums={"cost": F.lit(1)}, distinct=dict.fromkeys("abc"), edges={"click": None}, lists={})
+    edges = timeline._stretch_edges(touch, ["a", "b", "c"], DAY_US)
+    asked = touch.select(F.struct("_key", "_us").alias("_probe"), "_key", "_us")
+    points = timeline._points(touch, edges, asked, collect, DAY_US)
+    assert sorted(points.columns) == ["_flags", "_key", "_probe", "_side", "_us", "sum_cost"]
+
+
+def test_tasks_read_bounded_partitions():
+    assert RUNTIME_CONF["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "16m"
