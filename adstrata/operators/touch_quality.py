@@ -140,13 +140,20 @@ def validate_touchpoints(opportunities: DataFrame, touchpoints: DataFrame) -> Va
         ).alias("_types"),
     )
     passing = judged.where("_in_time").select(*TOUCH_COLUMNS)
-    recorded = judged.select(*TOUCH_COLUMNS, F.explode("_types").alias("anomaly_type"))
-    repeated = (
-        keys.flag_repeated(passing, VALIDATOR_KEY, "_repeated")
-        .where("_repeated")
-        .select(*TOUCH_COLUMNS, F.lit("duplicate_touchpoint").alias("anomaly_type"))
+    # One stream of rows for all types: touches are joined with their deals once for it, once for the keys.
+    repeated = keys.repeated_keys(passing, VALIDATOR_KEY).select(
+        *[F.col(name).alias(f"_k_{name}") for name in VALIDATOR_KEY], F.lit(True).alias("_repeated")
+    )
+    same = F.col("_in_time")
+    for name in VALIDATOR_KEY:
+        same = same & F.col(name).eqNullSafe(F.col(f"_k_{name}"))
+    duplicate = F.when(F.col("_repeated"), F.lit("duplicate_touchpoint"))
+    recorded = (
+        judged.where(F.col("_in_time") | (F.size("_types") > 0))
+        .join(repeated, same, "left")
+        .select(*TOUCH_COLUMNS, F.explode(F.array_compact(F.array_append("_types", duplicate))).alias("anomaly_type"))
     )
     return Validated(
         valid=keys.keep_first(passing, VALIDATOR_KEY, ["touchpoint_id"]),
-        anomalies=recorded.unionByName(repeated),
+        anomalies=recorded,
     )

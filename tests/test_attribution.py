@@ -170,3 +170,9 @@ def test_summary_keeps_groups_and_counts_deals_once(spark, deals, rows):
         ("T", "Unknown", 1, 1, 100.0),
         ("Unknown", "ch", 2, 1, 900.0),
     ]
+
+
+def test_anomalies_join_touches_twice(spark, deals):
+    """Once for the rows of all types, once for the repeated keys."""
+    found = touch_quality.validate_touchpoints(deals, touches(spark, [])).anomalies
+    assert found._jdf.queryExecution().analyzed().toString().count("AS deal_found") == 2
