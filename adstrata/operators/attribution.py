@@ -18,19 +18,26 @@ FIRST_SHARE = 0.4
 LAST_SHARE = 0.4
 MIDDLE_SHARE = 0.2
 
+# What places a touch in its deal.
+_PLACING = ["touchpoint_id", "opportunity_id", "touch_date", "close_date"]
+# What credit by model needs besides.
+CREDITED = ["campaign_id", "channel", "amount"]
+
 
 def touchpoint_fact(
     opportunities: DataFrame,
     touchpoints: DataFrame,
     as_of: str,
     stages: Sequence[str] | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Valid touches of each deal in order, with their position in the deal.
 
     Inputs are cleaned. A touch counts when account and deal agree and the deal is open or
     closed no earlier than the touch. Repeated business keys keep the smallest id. ``stages``
     restricts the deals; by default all stages take part. Ages of open deals end at ``as_of``.
-    Touches without a date come last in their deal.
+    Touches without a date come last in their deal. Rows are sorted and written on the way: ``keep``
+    names the columns of touches and deals that are needed besides those that place a touch in its deal.
     """
     deals = opportunities.select(
         "opportunity_id", "account_id", "created_at", "close_date", "stage_name", "amount"
@@ -40,6 +47,8 @@ def touchpoint_fact(
     open_or_before_close = F.col("close_date").isNull() | (F.col("touch_date") <= F.col("close_date"))
     joined = touchpoints.join(deals, ["opportunity_id", "account_id"]).where(open_or_before_close)
     fact = keys.keep_first(joined, BUSINESS_KEY, ["touchpoint_id"])
+    if keep is not None:
+        fact = fact.select([c for c in fact.columns if c in {*_PLACING, *keep}])
 
     fact = order_by_ranges(
         fact,

@@ -176,3 +176,11 @@ def test_anomalies_join_touches_twice(spark, deals):
     """Once for the rows of all types, once for the repeated keys."""
     found = touch_quality.validate_touchpoints(deals, touches(spark, [])).anomalies
     assert found._jdf.queryExecution().analyzed().toString().count("AS deal_found") == 2
+
+
+def test_fact_goes_on_with_kept_columns(spark, deals, rows):
+    data = [(f"t{n}", "o1", "a1", f"c{n}", "T", "ch", date(2024, 1, 2 + n % 3)) for n in range(5)]
+    whole = fact(spark, deals, data)
+    kept = fact(spark, deals, data, keep=attribution.CREDITED)
+    assert not {"campaign_type", "created_at", "stage_name", "account_id"} & set(kept.columns)
+    assert rows(attribution.attribution_by_model(kept)) == rows(attribution.attribution_by_model(whole))
