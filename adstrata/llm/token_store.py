@@ -14,11 +14,14 @@ A short document is read by its block's key range, its offset, and one small fra
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,6 +40,10 @@ LEVEL = 3
 # A block is closed at this size; a larger document has a block of its own.
 BLOCK_BYTES = 1 << 20
 BLOCK_DOCUMENTS = 4096
+# Steps of a normaliser that leave ASCII as it is, where white space is dropped afterwards, and
+# a splitter into bytes that cuts no further.
+ASCII_NEUTRAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}]
+BYTES_ALONE = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
 
 BLOCK = T.StructType(
     [
@@ -54,22 +61,72 @@ BLOCK = T.StructType(
 
 
 def library_encoder(spec: str) -> bpe.Encoder:
-    """Encoder whose new chunks go through the tokenizers library."""
+    """Encoder whose new chunks go through the tokenizers library.
+
+    Chunks of ASCII are cut into words before, where the file's normaliser does no more than lower-case
+    them; the library then encodes each distinct word once. Chunks with a special string stay whole.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    parsed = json.loads(spec)
+    special = [t["content"].lower() for t in parsed["added_tokens"]]
+    whole, words, find = _library(spec), None, None
+    split, *rest = (parsed["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    normal = [n for n in (parsed["normalizer"] or {}).get("normalizers", []) if n not in ASCII_NEUTRAL]
+    kept = (split.get("type"), split.get("behavior"), split.get("invert")) == ("Split", "Removed", True)
+    if kept and "Regex" in split["pattern"] and rest == [BYTES_ALONE] and normal == [{"type": "Lowercase"}]:
+        words_only = {"normalizer": None, "pre_tokenizer": BYTES_ALONE, "added_tokens": []}
+        words = _table(_library(json.dumps(parsed | words_only)), spec)
+        find = regex.compile(split["pattern"]["Regex"]).findall
+
+    def of_fresh(fresh: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        texts = [c.decode("utf-8", "replace") for c in fresh]
+        cut = {}
+        for k, text in enumerate(texts if words else []):
+            low = text.lower()
+            if text.isascii() and not any(map(low.__contains__, special)):
+                cut[k] = find(low)
+        of_whole = [k for k in range(len(texts)) if k not in cut]
+        flat, part = _encoded(whole, [texts[k] for k in of_whole])
+        sizes = np.zeros(len(fresh), np.int64)
+        sizes[of_whole] = part
+        if cut:
+            of_words = list(cut)
+            ids, counts = words.gather(words.numbers([w.encode() for k in of_words for w in cut[k]]))
+            ends = np.append(0, np.cumsum(counts))[np.cumsum([len(cut[k]) for k in of_words])]
+            sizes[of_words] = np.diff(ends, prepend=0)
+            flat, of_whole = np.append(flat, ids), of_whole + of_words
+        # From the order in which they were encoded to the one they came in.
+        begin = np.empty(len(fresh), np.int64)
+        begin[of_whole] = np.cumsum(sizes[of_whole]) - sizes[of_whole]
+        shift = np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+        return flat[np.arange(len(flat)) + shift], sizes
+
+    return bpe.Encoder({"special": {}, "pattern": "", "normal": [], "front": spec}, of_fresh)
+
+
+def _library(spec: str) -> Tokenizer:
     tokenizer = Tokenizer.from_str(spec)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    return tokenizer
 
-    def of_fresh(fresh: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        sizes, parts = np.zeros(len(fresh), np.int64), []
-        for a in range(0, len(fresh), 20_000):
-            texts = [c.decode("utf-8", "replace") for c in fresh[a : a + 20_000]]
-            found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            sizes[a : a + len(found)] = list(map(len, found))
-            parts.append(np.fromiter((i for ids in found for i in ids), np.int64))
-        return np.concatenate(parts), sizes
 
-    return bpe.Encoder({"special": {}, "pattern": "", "normal": [], "front": spec}, of_fresh)
+def _encoded(tokenizer: Tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of texts as the library gives them, flat, and the number of each text."""
+    sizes, parts = np.zeros(len(texts), np.int64), [np.empty(0, np.int64)]
+    for a in range(0, len(texts), 20_000):
+        found = [e.ids for e in tokenizer.encode_batch_fast(texts[a : a + 20_000], add_special_tokens=False)]
+        sizes[a : a + len(found)] = list(map(len, found))
+        parts.append(np.fromiter(chain.from_iterable(found), np.int64))
+    return np.concatenate(parts), sizes
+
+
+def _table(tokenizer: Tokenizer, spec: str) -> bpe.Encoder:
+    """A table of known words, new ones encoded by the library."""
+    return bpe.Encoder(
+        {"special": {}, "pattern": "", "normal": [], "front": spec},
+        lambda fresh: _encoded(tokenizer, [w.decode() for w in fresh]),
+    )
 
 
 def _worker_encoder(shared: dict) -> bpe.Encoder:

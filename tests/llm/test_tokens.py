@@ -159,6 +159,34 @@ def test_store_round_trip(spark, nasty, words, tmp_path):
     assert {r.id: bytes(r.packed) for r in some} == {i: dict(expected)[i] for i in (4, 9)}
 
 
+def test_store_gives_the_library_each_word_once(words, monkeypatch):
+    inputs = []
+
+    class Watched:
+        def __init__(self, spec):
+            self.own = Tokenizer.from_str(spec)
+
+        def __getattr__(self, name):
+            return getattr(self.own, name)
+
+        def encode_batch_fast(self, texts, **how):
+            inputs.extend(texts)
+            return self.own.encode_batch_fast(texts, **how)
+
+        from_str = classmethod(lambda cls, spec: cls(spec))
+
+    monkeypatch.setattr(token_store, "Tokenizer", Watched)
+    with open(WORDS, encoding="utf-8") as file:
+        encoder = token_store.library_encoder(file.read())
+    names = ["Alpha", "beta", "DON'T", "x1", "\x1c"]
+    plain = " ".join(a + mark + b for a in names for b in names for mark in ",.;:!?()")
+    odd = "<|ENDOFTEXT|> a<|endoftext|>b \u0130\u00c4 \ufb01 \u2003z\u0085 \x1f <|startofTEXT|>\x00"
+    texts = [plain, odd, "", plain.lower(), "(" + odd]
+    flat, totals = encoder.encode([t.encode() for t in texts])
+    assert [x.tolist() for x in np.split(flat, np.cumsum(totals)[:-1])] == [ids_of(words, t) for t in texts]
+    assert len(inputs) < 60  # 200 chunks
+
+
 def test_store_of_nothing(spark, nothing, tmp_path):
     out = str(tmp_path / "store")
     token_store.write_store(nothing, out, WORDS)
