@@ -49,3 +49,11 @@ def test_reach_reduces_users_before_groups(spark):
 def test_one_pass_over_a_checked_table(spark):
     plan = planned(registry.queries()["health_freshness"](spark, FOLDER))
     assert plan.count("FileScan") == 2
+
+
+@pytest.mark.parametrize("name", ["attr_summary", "attr_top8", "attr_quality_flags"])
+def test_attribution_bounds_its_tasks_in_any_session(spark, name):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "64m")
+    registry.queries()[name](spark, FOLDER)
+    assert spark.conf.get(key) == "16m"
