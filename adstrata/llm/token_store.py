@@ -43,6 +43,8 @@ BLOCK_DOCUMENTS = 4096
 # Steps of a normaliser that leave ASCII as it is, where white space is dropped afterwards, and
 # a splitter into bytes that cuts no further.
 ASCII_NEUTRAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}]
+# What lets a pattern see beside its match.
+BESIDES = regex.compile(r"\(\?|\$|(?<!\[)\^|\\[bBAzZGKRX]")
 BYTES_ALONE = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
 
 BLOCK = T.StructType(
@@ -63,35 +65,47 @@ BLOCK = T.StructType(
 def library_encoder(spec: str) -> bpe.Encoder:
     """Encoder whose new chunks go through the tokenizers library.
 
-    Chunks of ASCII are cut into words before, where the file's normaliser does no more than lower-case
-    them; the library then encodes each distinct word once. Chunks with a special string stay whole.
+    Chunks are cut into words before, where the file's normaliser does no more than compose, drop white
+    space and lower-case; the library then encodes each distinct word once. ASCII is cut here, other
+    chunks by the library's own normaliser and splitter. Chunks with a special string stay whole.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     parsed = json.loads(spec)
     special = [t["content"].lower() for t in parsed["added_tokens"]]
-    whole, words, find = _library(spec), None, None
+    whole, words, find, front = _library(spec), None, None, None
     split, *rest = (parsed["pre_tokenizer"] or {}).get("pretokenizers", [{}])
-    normal = [n for n in (parsed["normalizer"] or {}).get("normalizers", []) if n not in ASCII_NEUTRAL]
+    steps = (parsed["normalizer"] or {}).get("normalizers", [])
+    normal = [n for n in steps if n not in ASCII_NEUTRAL]
     kept = (split.get("type"), split.get("behavior"), split.get("invert")) == ("Split", "Removed", True)
     if kept and "Regex" in split["pattern"] and rest == [BYTES_ALONE] and normal == [{"type": "Lowercase"}]:
-        words_only = {"normalizer": None, "pre_tokenizer": BYTES_ALONE, "added_tokens": []}
-        words = _table(_library(json.dumps(parsed | words_only)), spec)
+        words = _table(parsed, spec)
         find = regex.compile(split["pattern"]["Regex"]).findall
+        if not BESIDES.search(split["pattern"]["Regex"]):
+            # Without the step for white space, which these chunks do not have, lines stay apart.
+            lines = [n for n in steps if n["type"] != "Replace"]
+            changes = {"normalizer": {"type": "Sequence", "normalizers": lines}, "pre_tokenizer": split, "added_tokens": []}
+            front = _library(json.dumps(parsed | changes))
 
     def of_fresh(fresh: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        texts = [c.decode("utf-8", "replace") for c in fresh]
+        texts = b"\n".join(fresh).decode("utf-8", "replace").split("\n")  # chunks have no white space of ASCII
         cut = {}
-        for k, text in enumerate(texts if words else []):
-            low = text.lower()
-            if text.isascii() and not any(map(low.__contains__, special)):
+        if words:
+            plain = [k for k, text in enumerate(texts) if text.isascii()]
+            for k, low in _without(special, plain, "\n".join([texts[k] for k in plain]).lower().split("\n")):
                 cut[k] = find(low)
+        if front and len(cut) < len(texts):
+            other = [k for k, text in enumerate(texts) if not text.isascii() and text.split() == [text]]
+            other = [k for k, _ in _without(special, other, [texts[k].lower() for k in other])]
+            lows = front.normalizer.normalize_str("\n".join([texts[k] for k in other])).split("\n") if other else []
+            other = list(_without(special, other, lows))
+            cut |= zip([k for k, _ in other], _words_of([low for _, low in other], front))
         of_whole = [k for k in range(len(texts)) if k not in cut]
         flat, part = _encoded(whole, [texts[k] for k in of_whole])
         sizes = np.zeros(len(fresh), np.int64)
         sizes[of_whole] = part
         if cut:
             of_words = list(cut)
-            ids, counts = words.gather(words.numbers([w.encode() for k in of_words for w in cut[k]]))
+            ids, counts = words.gather(words.numbers("\n".join(chain.from_iterable(cut.values())).encode().split(b"\n")))
             ends = np.append(0, np.cumsum(counts))[np.cumsum([len(cut[k]) for k in of_words])]
             sizes[of_words] = np.diff(ends, prepend=0)
             flat, of_whole = np.append(flat, ids), of_whole + of_words
@@ -104,6 +118,26 @@ def library_encoder(spec: str) -> bpe.Encoder:
     return bpe.Encoder({"special": {}, "pattern": "", "normal": [], "front": spec}, of_fresh)
 
 
+def _without(special: list[str], numbers: list[int], lows: list[str]) -> Iterator[tuple[int, str]]:
+    """Numbers and lower-case texts of those that hold no special string."""
+    joined = "\n".join(lows)
+    found = [s for s in special if s in joined]
+    pairs = zip(numbers, lows, strict=False)
+    return (p for p in pairs if not any(map(p[1].__contains__, found))) if found else pairs
+
+
+def _words_of(lows: list[str], front: Tokenizer) -> Iterator[list[str]]:
+    """Words of normalised chunks, cut by the library many chunks at a time."""
+    for a in range(0, len(lows), 100):
+        some = lows[a : a + 100]
+        found = front.pre_tokenizer.pre_tokenize_str("\n".join(some))
+        words = [w for w, _ in found]
+        ends = np.cumsum([len(low) + 1 for low in some])
+        of = np.searchsorted(np.fromiter((at[0] for _, at in found), np.int64, len(found)), ends).tolist()
+        for begin, end in zip([0, *of], of):
+            yield words[begin:end]
+
+
 def _library(spec: str) -> Tokenizer:
     tokenizer = Tokenizer.from_str(spec)
     tokenizer.no_truncation()
@@ -121,12 +155,28 @@ def _encoded(tokenizer: Tokenizer, texts: list[str]) -> tuple[np.ndarray, np.nda
     return np.concatenate(parts), sizes
 
 
-def _table(tokenizer: Tokenizer, spec: str) -> bpe.Encoder:
-    """A table of known words, new ones encoded by the library."""
-    return bpe.Encoder(
-        {"special": {}, "pattern": "", "normal": [], "front": spec},
-        lambda fresh: _encoded(tokenizer, [w.decode() for w in fresh]),
-    )
+def _table(parsed: dict, spec: str) -> bpe.Encoder:
+    """A table of known words, new ones encoded by the library, many in one text where their ends can be told."""
+    alone = {"normalizer": None, "pre_tokenizer": BYTES_ALONE, "added_tokens": []}
+    single = _library(json.dumps(parsed | alone))
+    line = {"type": "Split", "pattern": {"String": "\n"}, "behavior": "Removed", "invert": False}
+    many = _library(json.dumps(parsed | alone | {"pre_tokenizer": {"type": "Sequence", "pretokenizers": [line, BYTES_ALONE]}}))
+    suffix, vocabulary = parsed["model"].get("end_of_word_suffix"), many.get_vocab()
+    last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+    last[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+    # The library skips what is not in the vocabulary, so an end may be missing.
+    ended = bool(suffix) and all(c + suffix in vocabulary for c in vocab.byte_characters())
+
+    def of_fresh(fresh: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        words = [w.decode() for w in fresh]
+        if ended:
+            flat, _ = _encoded(many, ["\n".join(words[a : a + 1000]) for a in range(0, len(words), 1000)])
+            at = np.flatnonzero(last[flat])
+            if len(at) == len(words):  # each has one end at least, so none has another inside
+                return flat, np.diff(at, prepend=-1)
+        return _encoded(single, words)
+
+    return bpe.Encoder({"special": {}, "pattern": "", "normal": [], "front": spec}, of_fresh)
 
 
 def _worker_encoder(shared: dict) -> bpe.Encoder:

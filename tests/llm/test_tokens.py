@@ -1,6 +1,7 @@
 """Encoding, counting and storing tokens against the tokenizers library."""
 
 import hashlib
+import json
 import zlib
 
 import numpy as np
@@ -187,6 +188,32 @@ def test_store_gives_the_library_each_word_once(words, monkeypatch):
     assert len(inputs) < 60  # 200 chunks
 
 
+def test_store_cuts_other_chunks_into_words_too(words, monkeypatch):
+    given = []
+    made = token_store._encoded
+    monkeypatch.setattr(token_store, "_encoded", lambda tokenizer, texts: (given.extend(texts), made(tokenizer, texts))[1])
+    with open(WORDS, encoding="utf-8") as file:
+        encoder = token_store.library_encoder(file.read())
+    names = ["\u00c8onai", "stra\u00dfe", "\u0130z", "e\u0301t\u00e9", "\u65e5\u672c\u8a9e", "\u212aelvin", "na\u00efve's", "\u0665\u06f3", "\u03a3\u03a3"]
+    plain = " ".join(a + mark + b for a in names for b in names for mark in ".,;:!?()")
+    odd = "\u00e9<|endoftext|>\u00e9 \u00e9<|EndOfText|> a\u00a0\u00e9 \u2003 \u00e9\u0085 \u00e9\x1f\u00e9 \u0301 \u0301\u00e9 \ufeff \U0001f600\u200d\u00e9 <\u0338|endoftext|>"
+    texts = [plain, odd, "", plain.upper(), odd + plain + " \u00e9" * 300]
+    flat, totals = encoder.encode([t.encode() for t in texts])
+    assert [x.tolist() for x in np.split(flat, np.cumsum(totals)[:-1])] == [ids_of(words, t) for t in texts]
+    assert sum(map(len, given)) < 1000  # plain holds 648 chunks of 4,800 letters, twice
+
+
+def test_store_tells_ends_of_words_from_what_looks_like_one(words):
+    with open(WORDS, encoding="utf-8") as file:
+        spec = file.read()
+    table = token_store._table(json.loads(spec), spec)
+    some = ["a</w>b", "</w>", "w", "x</w>", "\u00e9"] + [f"w{i}" for i in range(2500)]
+    ids, sizes = table.gather(table.numbers([w.encode() for w in some]))
+    changes = {"normalizer": None, "pre_tokenizer": token_store.BYTES_ALONE, "added_tokens": []}
+    alone = Tokenizer.from_str(json.dumps(json.loads(spec) | changes))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [alone.encode(w, add_special_tokens=False).ids for w in some]
+
+
 def test_store_of_nothing(spark, nothing, tmp_path):
     out = str(tmp_path / "store")
     token_store.write_store(nothing, out, WORDS)
