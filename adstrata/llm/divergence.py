@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adstrata.llm.frames import column_name, give_back, sliced, stored
+from adstrata.llm.frames import column_name, give_back, release_shuffles, sliced, stored
 
 # Letters of ASCII and whatever is not ASCII; only A to Z have a lower case here.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -193,6 +193,7 @@ def frequent_terms(docs: DataFrame, min_docs: int) -> DataFrame:
     """
     chunks = stored(count_chunks(docs), "divergence-chunks", "zstd")
     cut = stored(cut_chunks(chunks), "divergence-cut")
+    release_shuffles(docs.sparkSession)  # of the distinct chunks, before the counts are moved
     whole = chunks.repartition("chunk").groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("n_docs").alias("n_docs"))
     # Every chunk is one key of the table of terms, so none of its partitions is large.
     by_source = (
@@ -208,6 +209,7 @@ def frequent_terms(docs: DataFrame, min_docs: int) -> DataFrame:
         ).filter(F.col("most") >= min_docs).drop("most"),
         "divergence-possible",
     )
+    release_shuffles(docs.sparkSession)  # of the counts of all chunks
     open_ = possible.filter("not sure").select("lang", "term").distinct()
     wanted = stored(open_.join(cut.select("chunk", "term"), "term"), "divergence-open")
     held = (

@@ -101,3 +101,13 @@ def test_clashing_names_and_empty(spark, nasty, nothing):
 def test_query(spark, folder):
     found = queries.op11_divergence(spark, folder)
     assert check.differences(found, check.connect(folder), queries.OP11_SQL) == []
+
+
+def test_shuffles_are_let_go_between_steps(spark, monkeypatch):
+    steps, stored = [], divergence.stored
+    monkeypatch.setattr(divergence, "stored", lambda df, name, *more: (steps.append(name), stored(df, name, *more))[1])
+    monkeypatch.setattr(divergence, "release_shuffles", lambda session: steps.append("released"), raising=False)
+    rows = [("en", "a", f"one two{i}") for i in range(12)]
+    kept = divergence.frequent_terms(spark.createDataFrame(rows, "lang string, source string, text string"), 10)
+    assert [(r.term, r.n) for r in kept.orderBy("term").collect()] == [("one", 12), ("two", 12)]
+    assert [steps[i - 1] for i, s in enumerate(steps) if s == "released"] == ["divergence-cut", "divergence-possible"]
