@@ -20,6 +20,10 @@ from adstrata.llm import vocab
 from adstrata.llm.frames import append_columns, raw_texts, slices
 
 NO_RANK = np.int64(1) << 60
+# Chunks that are merged together, and bytes of text encoded at a time: merge rounds hold some twelve numbers
+# a symbol, and ids and strings of a slice are held several times over.
+FRESH_TOGETHER = 10_000
+SLICE_BYTES = 1_000_000
 
 
 def merge_rounds(symbols: np.ndarray, lengths: np.ndarray, tables: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -93,6 +97,10 @@ class Encoder:
         self.begin, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
 
     def encode_fresh(self, fresh: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        blocks = [self.encode_block(fresh[a : a + FRESH_TOGETHER]) for a in range(0, len(fresh), FRESH_TOGETHER)]
+        return tuple(map(np.concatenate, zip(*blocks)))
+
+    def encode_block(self, fresh: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         words: list[bytes] = []
         fixed: dict[int, int] = {}
         n_words = np.zeros(len(fresh), np.int64)
@@ -225,7 +233,7 @@ def encode(
         encoder = worker_encoder(shared.value)
         return lambda column: _columns(*encoder.encode(raw_texts(column)), bool(packed))
 
-    return append_columns(df, [text], _fields(ids, packed), start)
+    return append_columns(df, [text], _fields(ids, packed), start, SLICE_BYTES)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -270,4 +278,4 @@ def round_trip(
         return work
 
     fields = [*_fields(ids, packed), T.StructField(decoded, T.StringType(), False)]
-    return append_columns(df, [text], fields, start)
+    return append_columns(df, [text], fields, start, SLICE_BYTES)

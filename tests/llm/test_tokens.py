@@ -247,3 +247,15 @@ def test_queries(spark, folder, words):
         n = len(ids_of(tokenizer, docs[row.doc_id]))
         assert row[1:] == (len(docs[row.doc_id].encode()), n, n > 1024)
     assert counts.filter(F.col("n_tokens") > 0).count() > 0
+
+
+def test_new_chunks_are_merged_in_blocks(monkeypatch):
+    """Merge rounds hold some numbers for every symbol of a block, so blocks bound a worker's memory."""
+    together, plain = [], bpe.encode_words
+    monkeypatch.setattr(bpe, "encode_words", lambda words, *more: (together.append(len(words)), plain(words, *more))[1])
+    monkeypatch.setattr(bpe, "FRESH_TOGETHER", 100, raising=False)
+    texts = [" ".join(f"wort{i}" for i in range(a, a + 700)).encode() for a in (0, 500)]
+    ids, totals = bpe.Encoder(vocab.load(WORDS)).encode(texts)
+    expected = [Tokenizer.from_file(WORDS).encode(t.decode(), add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == expected[0] + expected[1] and totals.tolist() == [len(e) for e in expected]
+    assert sum(together) >= 1200 and max(together) <= 500  # a chunk here has at most five words
