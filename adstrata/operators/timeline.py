@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adstrata.functions.scalars import MICROS, ColumnLike, as_column
-from adstrata.sources.scratch import written
+from adstrata.sources.scratch import release_shuffles, written
 
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
@@ -55,6 +55,7 @@ def order_by_ranges(
     sequence: str | None = None,
     totals: Mapping[str, Column] | None = None,
     running: Mapping[str, ColumnLike] | None = None,
+    later: Mapping[str, Column] | None = None,
     ranges: int | None = None,
 ) -> DataFrame:
     """Number rows per key, add key totals and running sums, whatever a key holds.
@@ -65,16 +66,21 @@ def order_by_ranges(
     totals of the ranges before arrive, as one carried row per (key, range).
 
     ``totals`` maps a new column to an aggregate over sums and counts, ``running`` maps a new column to
-    the value that is summed up to and including the current row. Rows with a null in the key belong to
+    the value that is summed up to and including the current row. ``later`` maps a new column to an
+    aggregate of the key over rows that have all these columns already; only rows of the keys that a
+    boundary cuts move once more for it. Rows with a null in the key belong to
     no key and are dropped. Without ``ranges`` Spark chooses their number. The ranged rows are written
     to the shared folder once: boundaries are sampled, and all that follows has to see the same ones.
+    Shuffle files of what led to them are let go.
     """
-    totals = dict(totals or {})
+    totals, later = dict(totals or {}), dict(later or {})
     running = {name: as_column(value) for name, value in (running or {}).items()}
+    spark = df.sparkSession
     by = [*[F.col(k) for k in key], *order]
     known = df.dropna(subset=list(key))
     dealt = known.repartitionByRange(*by) if ranges is None else known.repartitionByRange(ranges, *by)
     placed = written(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
+    release_shuffles(spark)
 
     whole = F.struct(*key)
     ends = placed.groupBy("_range").agg(F.array_distinct(F.array(F.min(whole), F.max(whole))).alias("_ends"))
@@ -84,17 +90,14 @@ def order_by_ranges(
         for end in row["_ends"]:
             spread[tuple(end)] = spread.get(tuple(end), 0) + 1
     cut = [end for end, n in spread.items() if n > 1]
-    carried = None
+    carried = of_cut_keys = None
     if cut:
-        spark, kinds = df.sparkSession, T.StructType([df.schema[k] for k in key])
-        per_range = (
-            placed.join(F.broadcast(spark.createDataFrame(cut, kinds)), list(key), "left_semi")
-            .groupBy(*key, "_range")
-            .agg(
-                F.count(F.lit(1)).alias("_rows"),
-                *[value.alias(f"_total_{name}") for name, value in totals.items()],
-                *[F.sum(value).alias(f"_sum_{name}") for name, value in running.items()],
-            )
+        kinds = T.StructType([df.schema[k] for k in key])
+        of_cut_keys = placed.join(F.broadcast(spark.createDataFrame(cut, kinds)), list(key), "left_semi")
+        per_range = of_cut_keys.groupBy(*key, "_range").agg(
+            F.count(F.lit(1)).alias("_rows"),
+            *[value.alias(f"_total_{name}") for name, value in totals.items()],
+            *[F.sum(value).alias(f"_sum_{name}") for name, value in running.items()],
         )
         of_key = Window.partitionBy(*key)
         earlier = of_key.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -108,28 +111,44 @@ def order_by_ranges(
         carried = spark.createDataFrame(carried.collect(), carried.schema)
 
     inside = Window.partitionBy(*key, "_range")
-    ordered = inside.orderBy(*order)
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local: dict[str, Column] = {f"_local_{name}": value.over(inside) for name, value in totals.items()}
-    if sequence:
-        local["_place"] = F.row_number().over(ordered)
-    for name, value in running.items():
-        local[f"_run_{name}"] = F.sum(value).over(so_far)
-    rows = placed.withColumns(local)
-    added = {name: F.col(f"_local_{name}") for name in totals}
-    if sequence:
-        added[sequence] = F.col("_place").cast("bigint")
-    for name in running:
-        added[name] = F.coalesce(f"_run_{name}", F.lit(0))
-    if carried is not None:
-        rows = rows.join(F.broadcast(carried), [*key, "_range"], "left")
-        before = {sequence: "_rows_before"} | {name: f"_before_{name}" for name in running}
-        for name in added:
-            if name in totals:
-                added[name] = F.coalesce(F.col(f"_whole_{name}"), added[name])
-            else:
-                added[name] = F.coalesce(before[name], F.lit(0)) + added[name]
-    return rows.select(*df.columns, *[value.alias(name) for name, value in added.items()])
+
+    def numbered(placed: DataFrame) -> DataFrame:
+        ordered = inside.orderBy(*order)
+        so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        local: dict[str, Column] = {f"_local_{name}": value.over(inside) for name, value in totals.items()}
+        if sequence:
+            local["_place"] = F.row_number().over(ordered)
+        for name, value in running.items():
+            local[f"_run_{name}"] = F.sum(value).over(so_far)
+        rows = placed.withColumns(local)
+        added = {name: F.col(f"_local_{name}") for name in totals}
+        if sequence:
+            added[sequence] = F.col("_place").cast("bigint")
+        for name in running:
+            added[name] = F.coalesce(f"_run_{name}", F.lit(0))
+        if carried is not None:
+            rows = rows.join(F.broadcast(carried), [*key, "_range"], "left")
+            before = {sequence: "_rows_before"} | {name: f"_before_{name}" for name in running}
+            for name in added:
+                if name in totals:
+                    added[name] = F.coalesce(F.col(f"_whole_{name}"), added[name])
+                else:
+                    added[name] = F.coalesce(before[name], F.lit(0)) + added[name]
+        return rows.select(*placed.columns, *[value.alias(name) for name, value in added.items()])
+
+    rows = numbered(placed)
+    if later:
+        local = {name: value.over(inside) for name, value in later.items()}
+        if of_cut_keys is not None:
+            whole = numbered(of_cut_keys).groupBy(*key).agg(
+                F.lit(True).alias("_cut"), *[value.alias(f"_whole_{name}") for name, value in later.items()]
+            )
+            whole = spark.createDataFrame(whole.collect(), whole.schema)
+            rows = rows.join(F.broadcast(whole), list(key), "left")
+            for name in later:
+                local[name] = F.when(F.col("_cut"), F.col(f"_whole_{name}")).otherwise(local[name])
+        rows = rows.withColumns(local).drop("_cut", *[f"_whole_{name}" for name in later])
+    return rows.drop("_range")
 
 
 @dataclass(frozen=True)

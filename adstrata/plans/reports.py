@@ -37,7 +37,9 @@ def channel_attribution(
 ) -> DataFrame:
     """Credit per channel and model; validated touches, normalised to the deal value."""
     valid = touch_quality.validate_touchpoints(opportunities, touchpoints).valid
-    fact = attribution.touchpoint_fact(opportunities, valid, as_of, keep=attribution.CREDITED)
+    fact = attribution.touchpoint_fact(
+        opportunities, valid, as_of, keep=attribution.CREDITED, deal_credit=True
+    )
     return attribution.revenue_by_channel(
         attribution.normalise_allocations(attribution.attribution_by_model(fact))
     )

@@ -1,10 +1,12 @@
 import random
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from adstrata.operators import attribution, touch_quality
+from adstrata.operators import attribution, timeline, touch_quality
+from workload.attribution import attr_normalized
 
 DEALS = "opportunity_id string, account_id string, stage_name string, created_at date, close_date date, amount double"
 TOUCHES = (
@@ -184,3 +186,63 @@ def test_fact_goes_on_with_kept_columns(spark, deals, rows):
     kept = fact(spark, deals, data, keep=attribution.CREDITED)
     assert not {"campaign_type", "created_at", "stage_name", "account_id"} & set(kept.columns)
     assert rows(attribution.attribution_by_model(kept)) == rows(attribution.attribution_by_model(whole))
+
+
+def test_normalised_rows_do_not_move(spark, deals, rows):
+    """Touches become a row for each model last: no shuffle, sort or join after that."""
+    found = attr_normalized(SimpleNamespace(opportunities=deals, touchpoints=touches(spark, random_touches(2))))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    above, *rest = plan.split("Generate explode")
+    assert len(rest) == 1
+    assert not any(node in above for node in ("Exchange", "Sort", "Join"))
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_deal_credit_scales_as_sums_of_rows_do(spark, deals, rows, monkeypatch, ranges):
+    """Also for deals that ranges cut, deals listed twice with other amounts, and touches without id or date."""
+    listed = deals.unionByName(deals.where("opportunity_id = 'o1'").withColumn("amount", F.lit(70.0)).withColumn("account_id", F.lit("a2")))
+    listed = listed.withColumn("account_id", F.when(F.col("opportunity_id") == "o1", F.col("account_id")).otherwise("a1"))
+    data = [
+        (None if n % 9 == 0 else t[0], t[1], "a2" if t[1] == "o1" and n % 3 == 0 else t[2], *t[3:6], None if t[1] == "o2" and n % 5 == 0 else t[6])
+        for n, t in enumerate(random_touches(3))
+    ]
+    whole = timeline.order_by_ranges
+    monkeypatch.setattr(attribution, "order_by_ranges", lambda *args, **options: whole(*args, **options, ranges=ranges))
+    results = [
+        attribution.normalise_allocations(
+            attribution.attribution_by_model(fact(spark, listed, data, keep=attribution.CREDITED, deal_credit=deal_credit))
+        )
+        for deal_credit in (False, True)
+    ]
+    assert results[0].columns == results[1].columns
+    assert rows(results[0]) == rows(results[1])
+    assert {r.model for r in results[1].collect()} == set(attribution.DEAL_CREDIT)
+    assert results[1].groupBy("opportunity_id").agg(F.countDistinct("amount").alias("n")).where("n > 1").count() == 1
+
+
+def test_fact_picks_from_columns_that_decide(spark, deals, rows, monkeypatch):
+    """Touches are joined without columns that nobody keeps; the row that stays of equal ones is the same."""
+    ranged = []
+    monkeypatch.setattr(timeline, "written", lambda df, name, write=timeline.written: ranged.append(df) or write(df, name))
+    twice = deals.unionByName(deals.where("opportunity_id = 'o2'").withColumn("amount", F.lit(7.0)))
+    data = [("t1", "o2", "a2", "c", kind, "ch", date(2024, 2, 1)) for kind in ("U", None, "T")]
+    whole = fact(spark, twice, data)
+    kept = fact(spark, twice, data, keep=attribution.CREDITED)
+    assert rows(kept) == rows(whole.select(kept.columns)) and kept.count() == 1
+    plans = [df._jdf.queryExecution().optimizedPlan().toString().splitlines() for df in ranged]
+    assert [any("Aggregate" in line and "campaign_type" in line for line in plan) for plan in plans] == [True, False]
+    assert "campaign_type" in fact(spark, twice, data, keep=["campaign_type"]).columns
+    wide = touches(spark, data).selectExpr("*", "length(campaign_type) as a", "-length(campaign_type) as b")
+    wide = wide.withColumn("a", F.when(F.col("campaign_type") == "U", 0).otherwise(1))
+    picks = [
+        attribution.touchpoint_fact(deals, wide.drop("campaign_type"), AS_OF, keep=keep).head()["b"] for keep in (None, ["b"])
+    ]
+    assert picks[0] == picks[1]
+
+
+def test_ranges_let_go_of_their_shuffle_files(spark, deals, monkeypatch):
+    done = []
+    monkeypatch.setattr(timeline, "written", lambda df, name, write=timeline.written: done.append("written") or write(df, name))
+    monkeypatch.setattr(timeline, "release_shuffles", lambda session: done.append("released"))
+    fact(spark, deals, random_touches(4))
+    assert done == ["written", "released"]

@@ -136,6 +136,39 @@ def test_order_by_ranges(spark, ranges):
     assert found == expected
 
 
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_later_totals_see_places(spark, ranges):
+    """Aggregates over sequence, totals and running sums of a key, wherever ranges cut it."""
+    rng = random.Random(7)
+    data = [(rng.choice(["hot", "hot", "a", "b", "c", "lone", None]), n, rng.randrange(5)) for n in range(300)]
+    data.append(("nothing", 0, None))
+    df = spark.createDataFrame(data, "k string, id int, v int").repartition(3)
+    result = order_by_ranges(
+        df,
+        ["k"],
+        [F.col("id")],
+        sequence="seq",
+        totals={"n": F.count("v")},
+        running={"so_far": F.col("v")},
+        later={
+            "ends": F.sum(F.when(F.col("seq").isin(1) | (F.col("seq") == F.col("n")), F.col("v"))),
+            "area": F.sum("so_far"),
+        },
+        ranges=ranges,
+    )
+    assert result.columns == ["k", "id", "v", "n", "seq", "so_far", "ends", "area"]
+    found = {(r.k, r.id): (r.n, r.ends, r.area) for r in result.collect()}
+    expected = {}
+    for key in {k for k, _, _ in data if k is not None}:
+        own = sorted((n, v) for k, n, v in data if k == key)
+        values = [v for _, v in own if v is not None]
+        ends = [v for p, (_, v) in enumerate(own, 1) if v is not None and p in (1, len(values))]
+        area = sum(sum(values[: p + 1]) for p in range(len(values)))
+        for n, _ in own:
+            expected[key, n] = (len(values), sum(ends) if ends else None, area)
+    assert found == expected
+
+
 def test_ranges_split_a_busy_key_evenly(spark):
     """The windows of one key with equal times are spread over the ranges."""
     df = spark.range(20_000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as k", "id", "timestamp'2024-01-01' as at")
